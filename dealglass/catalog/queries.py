@@ -132,16 +132,20 @@ def mv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.materialize(summary, shared_folder(spark, "monthly-summary"))
 
 
+def _feed(session: SparkSession, folder: str, table: str) -> DataFrame:
+    return run.read_stream(session, folder, table, orders.FILE_SCHEMAS[table])
+
+
 def stream_audit(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
-    signals = orders.churn_signals(run.read_stream(session, folder, "events"))
+    signals = orders.churn_signals(_feed(session, folder, "events"))
     audit = flows.audit_inserts(signals, "churn_signals", "detected_at", "loader")
     return run.append_to(audit, shared_folder(spark, "stream-audit"))
 
 
 def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
-    records = orders.revenue_records(run.read_stream(session, folder, "orders"))
+    records = orders.revenue_records(_feed(session, folder, "orders"))
     totals = run.upsert_by(
         flows.monthly_revenue(records), "revenue_month", shared_folder(spark, "stream-monthly"))
     return revenue.with_month_over_month(totals)
@@ -149,13 +153,13 @@ def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_inactivity(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
-    touches = orders.activities(run.read_stream(session, folder, "lineitem"))
+    touches = orders.activities(_feed(session, folder, "lineitem"))
     return run.append_to(flows.inactivity(touches), shared_folder(spark, "stream-inactivity"))
 
 
 def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
-    touches = orders.activities(run.read_stream(session, folder, "lineitem"))
+    touches = orders.activities(_feed(session, folder, "lineitem"))
     return run.append_to(flows.activity_daily(touches), shared_folder(spark, "stream-daily"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -148,28 +148,34 @@ def required_columns(table: str) -> list[str]:
     return [part.split()[0] for part in flat.split(", ") if part.endswith("!")]
 
 
-@dataclass(frozen=True)
 class Model:
-    """The domain tables as DataFrames; tables a caller does not have stay ``None``.
+    """The domain tables by name, as attributes.
 
+    A table is given as a DataFrame or as a function that builds it; a function
+    runs when the table is first used, so a query plans only what it reads.
     ``activities`` may come without ``customer_id``; customer-level activity is
     then looked up through the deal.
     """
 
-    deal_stages: DataFrame | None = None
-    customers: DataFrame | None = None
-    contacts: DataFrame | None = None
-    deals: DataFrame | None = None
-    products: DataFrame | None = None
-    deal_products: DataFrame | None = None
-    activities: DataFrame | None = None
-    revenue_records: DataFrame | None = None
-    forecasts: DataFrame | None = None
-    churn_signals: DataFrame | None = None
-    cohorts: DataFrame | None = None
-    audit_logs: DataFrame | None = None
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]) -> None:
+        unknown = set(tables) - set(SCHEMAS)
+        if unknown:
+            raise ValueError(f"not domain tables: {sorted(unknown)}")
+        self._given = tables
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._given:
+            raise AttributeError(f"the model has no table {name!r}")
+        if name not in self._built:
+            given = self._given[name]
+            self._built[name] = given() if callable(given) else given
+        return self._built[name]
 
     def tables(self) -> dict[str, DataFrame]:
         """The tables that are present, by name."""
-        found = {f.name: getattr(self, f.name) for f in fields(self)}
-        return {name: df for name, df in found.items() if df is not None}
+        return {name: getattr(self, name) for name in SCHEMAS if name in self._given}
+
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Model:
+        """The same model with some tables exchanged."""
+        return Model(**{**self._given, **self._built, **tables})

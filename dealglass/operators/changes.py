@@ -12,11 +12,10 @@ from dealglass.model import RECORD_KEYS, Model
 from dealglass.plans import rollups
 
 
-def row_json(columns: list[str]) -> Column:
-    """The named columns as one JSON document; nulls are written, not dropped."""
+def as_json(row: Column) -> Column:
+    """A struct as a JSON document; nulls are written, not dropped."""
     return F.to_json(
-        F.struct(*columns),
-        {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
+        row, {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     )
 
 
@@ -32,28 +31,28 @@ def audit_log_diff(
     """One audit row per inserted, updated or deleted record between two snapshots.
 
     The record key comes from an explicit map, since table and key names do not
-    follow one pattern.  Keys are unique, so the full outer join cannot skew.
+    follow one pattern.  Keys are unique, so the full outer join cannot skew;
+    rows are compared as typed columns and only changed ones become JSON.
     """
     key = RECORD_KEYS[table]
     columns = before.columns
-    old = before.select(F.col(key).alias("_key"), row_json(columns).alias("old_data"))
-    new = after.select(*columns).select(
-        F.col(key).alias("_key"), row_json(columns).alias("new_data"))
+    old = before.select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
+    new = after.select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
     action = (
-        F.when(F.col("old_data").isNull(), "INSERT")
-        .when(F.col("new_data").isNull(), "DELETE")
+        F.when(F.col("old").isNull(), "INSERT")
+        .when(F.col("new").isNull(), "DELETE")
         .otherwise("UPDATE")
     )
     at = F.lit(changed_at).cast("timestamp_ntz")
     return (
         old.join(new, "_key", "full_outer")
-        .where(~F.col("old_data").eqNullSafe(F.col("new_data")))
+        .where(~F.col("old").eqNullSafe(F.col("new")))
         .select(
             F.lit(table).alias("table_name"),
             F.col("_key").cast("string").alias("record_id"),
             action.alias("action"),
-            "old_data",
-            "new_data",
+            as_json(F.col("old")).alias("old_data"),
+            as_json(F.col("new")).alias("new_data"),
             F.lit(changed_by).alias("changed_by"),
             at.alias("changed_at"),
         )

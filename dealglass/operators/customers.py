@@ -9,7 +9,6 @@ tables); the multiplication is arithmetic on the rollups.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +30,9 @@ def _rows(col: Column) -> Column:
 
 def customer_health(m: Model, as_of: dt.date, fan_out: bool = False) -> DataFrame:
     """Per customer: deals, activities, churn signals, health score and status."""
-    deals = rollups.customer_deals(m).select("customer_id", "deals", "won_deals", "won_value")
-    touches = rollups.customer_activity(m).select(
-        "customer_id", "total_activities", "last_activity_at")
     base = (
         m.customers.select("customer_id", "company_name", "customer_tier", "industry", "status")
-        .join(deals, "customer_id", "left")
-        .join(touches, "customer_id", "left")
+        .join(rollups.customer_book(m), "customer_id", "left")
         .join(rollups.customer_signals(m), "customer_id", "left")
     )
     deal_rows, touch_rows = _rows(F.col("deals")), _rows(F.col("total_activities"))
@@ -132,15 +127,11 @@ def customer_lifetime_value(
     """
     if customer_id is not None:
         m = _only_customer(m, customer_id)
-    deals = rollups.customer_deals(m)
-    touches = rollups.customer_activity(m).select(
-        "customer_id", "total_activities", "last_activity_at")
     revenue = rollups.customer_revenue(m).select("customer_id", "records", "expansion_revenue")
     signals = rollups.customer_signals(m).select("customer_id", "open_signals")
     base = (
         m.customers.select("customer_id", "company_name", "customer_tier", "industry")
-        .join(deals, "customer_id", "left")
-        .join(touches, "customer_id", "left")
+        .join(rollups.customer_book(m), "customer_id", "left")
         .join(revenue, "customer_id", "left")
         .join(signals, "customer_id", "left")
     )
@@ -188,8 +179,7 @@ def _only_customer(m: Model, customer_id) -> Model:
         activities = m.activities.where(mine)
     else:
         activities = m.activities.join(deals.select("deal_id"), "deal_id", "left_semi")
-    return replace(
-        m,
+    return m.replace(
         customers=m.customers.where(mine),
         deals=deals,
         activities=activities,
@@ -252,13 +242,8 @@ def customer_segmentation(
 
     Thresholds are arguments, so no global ranking of customers is needed.
     """
-    deals = rollups.customer_deals(m).select("customer_id", "deals", "won_value")
-    touches = rollups.customer_activity(m).select("customer_id", "last_activity_at")
-    base = (
-        m.customers.select("customer_id", "company_name", "customer_tier", "status")
-        .join(deals, "customer_id", "left")
-        .join(touches, "customer_id", "left")
-    )
+    base = m.customers.select("customer_id", "company_name", "customer_tier", "status").join(
+        rollups.customer_book(m), "customer_id", "left")
     won = _cash(F.col("won_value"))
     idle = days_until(as_of, F.col("last_activity_at"))
     recent = F.coalesce(idle <= recent_days, F.lit(False))

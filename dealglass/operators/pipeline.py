@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,7 +123,7 @@ def deal_health_score(m: Model, as_of: dt.date, deal_id=None) -> DataFrame:
     """
     if deal_id is not None:
         this = F.col("deal_id") == F.lit(deal_id)
-        m = replace(m, deals=m.deals.where(this), activities=m.activities.where(this))
+        m = m.replace(deals=m.deals.where(this), activities=m.activities.where(this))
     deals = _touched_deals(m, rollups.staged_deals(m), "company_name")
     idle = days_until(as_of, F.col("last_activity_at"))
     negatives = zero(F.col("negatives"))

@@ -148,21 +148,31 @@ def overall_win_rate(m: Model) -> DataFrame:
     )
 
 
-def revenue_forecast(m: Model, as_of: dt.date, months: int = 3) -> DataFrame:
-    """Per month of expected close within ``months``: weighted, best, worst, predicted."""
-    close = F.col("expected_close_date")
-    window = rollups.staged_deals(m).where(
-        F.col("is_active") & close.between(on(as_of), F.add_months(on(as_of), months))
-    )
-    pipeline = F.col("total_pipeline")
-    rate = F.col("historical_win_rate")
+def open_pipeline_by_day(m: Model) -> DataFrame:
+    """Per expected closing day: active deals, value, and value times stage probability."""
     return (
-        window.groupBy(month(close).alias("forecast_month"))
+        rollups.staged_deals(m)
+        .where("is_active")
+        .groupBy("expected_close_date")
         .agg(
             F.count(F.lit(1)).alias("active_deals"),
             F.sum("deal_value").alias("total_pipeline"),
             F.sum(F.col("deal_value") * F.col("probability")).alias("weighted"),
         )
+    )
+
+
+def revenue_forecast(m: Model, as_of: dt.date, months: int = 3) -> DataFrame:
+    """Per month of expected close within ``months``: weighted, best, worst, predicted."""
+    close = F.col("expected_close_date")
+    in_window = close.between(on(as_of), F.add_months(on(as_of), months))
+    pipeline = F.col("total_pipeline")
+    rate = F.col("historical_win_rate")
+    return (
+        open_pipeline_by_day(m)
+        .where(in_window)
+        .groupBy(month(close).alias("forecast_month"))
+        .agg(*[F.sum(c).alias(c) for c in ("active_deals", "total_pipeline", "weighted")])
         .withColumn("historical_win_rate", overall_win_rate(m).scalar())
         .select(
             "forecast_month",

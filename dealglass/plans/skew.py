@@ -48,9 +48,9 @@ def salted_join(
     slices = max(16, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = hot_keys(facts if count_on is None else count_on, key, min_rows).scalar()
     is_hot = F.coalesce(F.array_contains(hot, F.col(key)), F.lit(False))
+    slice_of_row = F.pmod(F.xxhash64(spread), F.lit(slices)).cast("int")
     left = facts.withColumn(
-        "_slice",
-        F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(slices)).cast("int")).otherwise(F.lit(0)),
+        "_slice", F.when(is_hot, F.coalesce(slice_of_row, F.lit(0))).otherwise(F.lit(0))
     )
     every = F.sequence(F.lit(0), F.lit(slices - 1))
     right = dim.withColumn(

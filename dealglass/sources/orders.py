@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealglass.functions.columns import half_up, money, month, percent
+from dealglass.functions.columns import half_up, month, percent
 from dealglass.model import DOMAINS, STAGES, Model
 from dealglass.operators.revenue import derive_mrr_arr
 from dealglass.plans.rollups import STAGE_COLUMNS
@@ -26,16 +27,33 @@ AS_OF = dt.date(2001, 6, 1)
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
+# Column types of the source files.  Declared, so that planning a
+# query reads no file footers.
+FILE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+}
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(FILE_SCHEMAS[table]).parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
-def _lookup(key: Column, keys: list, values: list[str]) -> Column:
-    """A fixed mapping as a CASE chain."""
-    out = F.when(key == F.lit(keys[0]), F.lit(values[0]))
-    for k, v in zip(keys[1:], values[1:]):
-        out = out.when(key == F.lit(k), F.lit(v))
-    return out
+def _choose(key: str, keys: list, values: list[str], default: str | None = None) -> str:
+    """A fixed mapping as a SQL CASE expression."""
+    whens = " ".join(f"when {k!r} then '{v}'" for k, v in zip(keys, values))
+    return f"case {key} {whens} {f"else '{default}'" if default else ''} end"
 
 
 def deal_stages(spark: SparkSession) -> DataFrame:
@@ -48,134 +66,115 @@ def deal_stages(spark: SparkSession) -> DataFrame:
 
 
 def customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    balance = money(F.col("c_acctbal"))
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
-    return customer.join(places, "c_nationkey", "left").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("company_name"),
-        F.col("c_mktsegment").alias("industry"),
-        F.col("n_name").alias("country"),
-        F.col("r_name").alias("region"),
-        balance.alias("annual_revenue"),
-        F.when(balance >= 7000, "Enterprise").when(balance >= 3000, "Mid-Market")
-        .otherwise("SMB").alias("customer_tier"),
-        F.when(balance < 0, "Churned").when(balance < 600, "At-Risk")
-        .otherwise("Active").alias("status"),
-    )
-
-
-def _deal_stage(status: Column, priority: Column) -> Column:
-    urgent = priority.isin("1-URGENT", "2-HIGH")
-    return (
-        F.when((status == "F") & (priority == "5-LOW"), 7)
-        .when(status == "F", 6)
-        .when((status == "P") & urgent, 5)
-        .when(status == "P", 4)
-        .when(urgent, 3)
-        .when(priority == "3-MEDIUM", 2)
-        .otherwise(1)
+    places = nation.join(region, F.expr("n_regionkey = r_regionkey"), "left").selectExpr(
+        "n_nationkey as c_nationkey", "n_name", "r_name")
+    return customer.join(places, "c_nationkey", "left").selectExpr(
+        "c_custkey as customer_id",
+        "c_name as company_name",
+        "c_mktsegment as industry",
+        "n_name as country",
+        "r_name as region",
+        "cast(c_acctbal as decimal(15,2)) as annual_revenue",
+        """case when c_acctbal >= 7000 then 'Enterprise' when c_acctbal >= 3000 then 'Mid-Market'
+           else 'SMB' end as customer_tier""",
+        """case when c_acctbal < 0 then 'Churned' when c_acctbal < 600 then 'At-Risk'
+           else 'Active' end as status""",
     )
 
 
 def deals(orders: DataFrame) -> DataFrame:
-    key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
-    created = F.col("o_orderdate").cast("date")
-
-    def after(days: int, cycle: int) -> Column:
-        return F.date_add(created, (F.lit(days) + F.pmod(key, F.lit(cycle))).cast("int"))
-
-    return orders.select(
-        key.alias("deal_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _deal_stage(status, priority).alias("stage_id"),
-        F.concat(F.lit("Deal "), key.cast("string")).alias("deal_name"),
-        money(F.col("o_totalprice")).alias("deal_value"),
-        after(30, 120).alias("expected_close_date"),
-        F.when(status == "F", after(10, 80)).alias("actual_close_date"),
-        F.col("o_orderdate").alias("created_at"),
-        _lookup(priority, PRIORITIES, DOMAINS["deals", "deal_source"]).alias("deal_source"),
-        F.concat(F.lit("rep_"), F.pmod(key, F.lit(25)).cast("string")).alias("assigned_rep"),
-        F.pmod(key, F.lit(69)).cast("int").alias("days_in_stage"),
-        (status != "F").alias("is_active"),
+    source = _choose("o_orderpriority", PRIORITIES, DOMAINS["deals", "deal_source"])
+    return orders.selectExpr(
+        "o_orderkey as deal_id",
+        "o_custkey as customer_id",
+        """case when o_orderstatus = 'F' then if(o_orderpriority = '5-LOW', 7, 6)
+                when o_orderstatus = 'P' then if(o_orderpriority in ('1-URGENT', '2-HIGH'), 5, 4)
+                when o_orderpriority in ('1-URGENT', '2-HIGH') then 3
+                when o_orderpriority = '3-MEDIUM' then 2 else 1 end as stage_id""",
+        "concat('Deal ', o_orderkey) as deal_name",
+        "cast(o_totalprice as decimal(15,2)) as deal_value",
+        "date_add(cast(o_orderdate as date), cast(30 + o_orderkey % 120 as int))"
+        " as expected_close_date",
+        "if(o_orderstatus = 'F',"
+        " date_add(cast(o_orderdate as date), cast(10 + o_orderkey % 80 as int)), null)"
+        " as actual_close_date",
+        "o_orderdate as created_at",
+        f"{source} as deal_source",
+        "concat('rep_', o_orderkey % 25) as assigned_rep",
+        "cast(o_orderkey % 69 as int) as days_in_stage",
+        "o_orderstatus <> 'F' as is_active",
     )
 
 
 def products(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").alias("product_id"),
-        F.concat_ws(" #", "p_name", F.col("p_partkey").cast("string")).alias("product_name"),
-        F.col("p_type").alias("product_category"),
-        money(F.col("p_retailprice")).alias("unit_price"),
-        F.when(F.col("p_size") <= 10, "One-Time").when(F.col("p_size") <= 25, "Monthly")
-        .otherwise("Annual").alias("billing_type"),
-        (F.col("p_size") > 5).alias("is_active"),
+    return part.selectExpr(
+        "p_partkey as product_id",
+        "concat(p_name, ' #', p_partkey) as product_name",
+        "p_type as product_category",
+        "cast(p_retailprice as decimal(15,2)) as unit_price",
+        "case when p_size <= 10 then 'One-Time' when p_size <= 25 then 'Monthly'"
+        " else 'Annual' end as billing_type",
+        "p_size > 5 as is_active",
     )
 
 
+LINE_ID = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+
+
 def deal_products(lineitem: DataFrame) -> DataFrame:
-    lines = lineitem.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias(
-            "deal_product_id"),
-        F.col("l_orderkey").alias("deal_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        money(F.col("l_extendedprice")).alias("unit_price"),
-        (F.col("l_discount").cast("decimal(4,2)") * 100).cast("decimal(5,2)").alias(
-            "discount_percent"),
-    )
-    return line_total(lines)
+    return line_total(lineitem.selectExpr(
+        f"{LINE_ID} as deal_product_id",
+        "l_orderkey as deal_id",
+        "l_partkey as product_id",
+        "cast(l_quantity as int) as quantity",
+        "cast(l_extendedprice as decimal(15,2)) as unit_price",
+        "cast(cast(l_discount as decimal(4,2)) * 100 as decimal(5,2)) as discount_percent",
+    ))
 
 
 def activities(lineitem: DataFrame) -> DataFrame:
     """Activities of a deal; the customer is found through the deal."""
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    return lineitem.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias(
-            "activity_id"),
-        F.col("l_orderkey").alias("deal_id"),
-        _lookup(F.col("l_linenumber"), list(range(1, 8)),
-                DOMAINS["activities", "activity_type"]).alias("activity_type"),
-        F.col("l_shipdate").alias("activity_date"),
-        F.when(flag == "A", "Positive").when(flag == "N", "Neutral")
-        .when(status == "F", "No Response").otherwise("Negative").alias("outcome"),
+    kind = _choose("l_linenumber", list(range(1, 8)), DOMAINS["activities", "activity_type"])
+    return lineitem.selectExpr(
+        f"{LINE_ID} as activity_id",
+        "l_orderkey as deal_id",
+        f"{kind} as activity_type",
+        "l_shipdate as activity_date",
+        """case when l_returnflag = 'A' then 'Positive' when l_returnflag = 'N' then 'Neutral'
+           when l_linestatus = 'F' then 'No Response' else 'Negative' end as outcome""",
     )
 
 
 def revenue_records(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    closed = orders.where(F.col("o_orderstatus") == "F")
-    records = closed.select(
-        key.alias("revenue_id"),
-        key.alias("deal_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _lookup(F.col("o_orderpriority"), PRIORITIES,
-                DOMAINS["revenue_records", "revenue_type"]).alias("revenue_type"),
-        money(F.col("o_totalprice")).alias("amount"),
-        F.date_add(F.col("o_orderdate").cast("date"),
-                   (F.lit(10) + F.pmod(key, F.lit(80))).cast("int")).alias("revenue_date"),
-        _lookup(F.pmod(key, F.lit(4)).cast("int"), list(range(4)),
-                DOMAINS["revenue_records", "billing_period"]).alias("billing_period"),
-        F.coalesce(_lookup(F.pmod(key, F.lit(5)).cast("int"), list(range(4)),
-                   DOMAINS["revenue_records", "payment_status"]), F.lit("Paid")).alias(
-            "payment_status"),
-    )
-    return derive_mrr_arr(records)
+    kind = _choose("o_orderpriority", PRIORITIES, DOMAINS["revenue_records", "revenue_type"])
+    period = _choose("o_orderkey % 4", list(range(4)), DOMAINS["revenue_records", "billing_period"])
+    paid = _choose(
+        "o_orderkey % 5", list(range(4)), DOMAINS["revenue_records", "payment_status"], "Paid")
+    return derive_mrr_arr(orders.where("o_orderstatus = 'F'").selectExpr(
+        "o_orderkey as revenue_id",
+        "o_orderkey as deal_id",
+        "o_custkey as customer_id",
+        f"{kind} as revenue_type",
+        "cast(o_totalprice as decimal(15,2)) as amount",
+        "date_add(cast(o_orderdate as date), cast(10 + o_orderkey % 80 as int)) as revenue_date",
+        f"{period} as billing_period",
+        f"{paid} as payment_status",
+    ))
 
 
 def churn_signals(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    value = F.col("value")
-    return events.where(F.col("event_type") == "error").select(
-        F.col("event_id").alias("signal_id"),
-        F.col("user_id").alias("customer_id"),
-        F.col("event_id").alias("deal_id"),
-        _lookup(F.pmod(k, F.lit(7)), list(range(7)),
-                DOMAINS["churn_signals", "signal_type"]).alias("signal_type"),
-        F.when(value < 20, "Low").when(value < 60, "Medium").when(value < 120, "High")
-        .otherwise("Critical").alias("severity"),
-        F.col("ts").alias("detected_at"),
-        (k < 10).alias("resolved"),
+    kind = _choose("k % 7", list(range(7)), DOMAINS["churn_signals", "signal_type"])
+    return events.where("event_type = 'error'").selectExpr(
+        "*", "cast(get_json_object(props, '$.k') as int) as k"
+    ).selectExpr(
+        "event_id as signal_id",
+        "user_id as customer_id",
+        "event_id as deal_id",
+        f"{kind} as signal_type",
+        """case when value < 20 then 'Low' when value < 60 then 'Medium'
+           when value < 120 then 'High' else 'Critical' end as severity""",
+        "ts as detected_at",
+        "k < 10 as resolved",
     )
 
 
@@ -198,21 +197,18 @@ def forecasts(deal_rows: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def model(spark: SparkSession, folder: str, as_of: dt.date = AS_OF) -> Model:
-    """All derivable domain tables of a folder; nothing is read until used."""
-    order_rows, line_rows = read(spark, folder, "orders"), read(spark, folder, "lineitem")
-    deal_rows = deals(order_rows)
+    """All derivable domain tables of a folder; a table is set up when first used."""
+    table = partial(read, spark, folder)
     return Model(
-        deal_stages=deal_stages(spark),
-        customers=customers(
-            read(spark, folder, "customer"), read(spark, folder, "nation"),
-            read(spark, folder, "region")),
-        deals=deal_rows,
-        products=products(read(spark, folder, "part")),
-        deal_products=deal_products(line_rows),
-        activities=activities(line_rows),
-        revenue_records=revenue_records(order_rows),
-        churn_signals=churn_signals(read(spark, folder, "events")),
-        forecasts=forecasts(deal_rows, as_of),
+        deal_stages=lambda: deal_stages(spark),
+        customers=lambda: customers(table("customer"), table("nation"), table("region")),
+        deals=lambda: deals(table("orders")),
+        products=lambda: products(table("part")),
+        deal_products=lambda: deal_products(table("lineitem")),
+        activities=lambda: activities(table("lineitem")),
+        revenue_records=lambda: revenue_records(table("orders")),
+        churn_signals=lambda: churn_signals(table("events")),
+        forecasts=lambda: forecasts(deals(table("orders")), as_of),
     )
 
 

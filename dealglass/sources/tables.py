@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dealglass.model import SCHEMAS, Model, ddl
@@ -15,8 +17,9 @@ def read_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet")
 
 def read_model(spark: SparkSession, folder: str, tables: list[str] | None = None) -> Model:
     """A model over ``folder/<table>`` for the named tables (default: all)."""
+    base = folder.rstrip("/")
     names = tables or list(SCHEMAS)
-    return Model(**{t: read_table(spark, t, f"{folder.rstrip('/')}/{t}") for t in names})
+    return Model(**{t: partial(read_table, spark, t, f"{base}/{t}") for t in names})
 
 
 def materialize(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dealglass.functions.columns import month, sum_where
 from dealglass.model import RECORD_KEYS
-from dealglass.operators.changes import audit_id, row_json
+from dealglass.operators.changes import as_json, audit_id
 
 
 def audit_inserts(
@@ -25,7 +25,7 @@ def audit_inserts(
             F.lit(table).alias("table_name"),
             F.col(key).cast("string").alias("record_id"),
             F.lit("INSERT").alias("action"),
-            row_json(rows.columns).alias("new_data"),
+            as_json(F.struct(*rows.columns)).alias("new_data"),
             F.lit(changed_by).alias("changed_by"),
             F.col(changed_at).alias("changed_at"),
         )

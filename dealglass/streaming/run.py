@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Session options for stateful streams: state on disk, and sessions of one key
-# merged inside each input partition before the shuffle, so that a key with many
+# Session options for stateful streams: state on disk, checkpointed by its changes,
+# and sessions of one key merged inside each input partition before the shuffle, so that a key with many
 # rows does not send all of them to one task.
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
@@ -26,14 +27,12 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def read_stream(session: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table's files as a stream, with the schema of the files there now.
+def read_stream(session: SparkSession, folder: str, table: str, schema: str) -> DataFrame:
+    """A table's Parquet files as a stream.
 
     The trailing pattern lets the table be a folder or a single file.
     """
-    path = f"{folder.rstrip('/')}/{table}.parquet"
-    schema = session.read.parquet(path).schema
-    return session.readStream.schema(schema).parquet(f"{path}*")
+    return session.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{table}.parquet*")
 
 
 def append_to(stream: DataFrame, folder: str) -> DataFrame:
