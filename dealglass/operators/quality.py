@@ -101,29 +101,40 @@ def check_unique(m: Model, keys: dict[str, list[list[str]]] | None = None) -> Da
 def check_orphans(m: Model) -> DataFrame:
     """Per reference: child rows whose non-null key has no parent row.
 
-    Child keys are counted first, so the anti join sees each key once.
+    Child keys are counted first, and all children of a parent meet it in one
+    join, so a parent table is read and shuffled once.
     """
     tables = m.tables()
-    parts = []
+    by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
     for child, column, parent, parent_key in FOREIGN_KEYS:
-        if child not in tables or parent not in tables or column not in tables[child].columns:
-            continue
-        keys = (
-            tables[child].where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("key"))
-            .agg(F.count(F.lit(1)).alias("n"))
+        if child in tables and parent in tables and column in tables[child].columns:
+            by_parent.setdefault((parent, parent_key), []).append((child, column))
+    parts = []
+    for (parent, parent_key), children in by_parent.items():
+        known = tables[parent].select(F.col(parent_key).alias("key"), F.lit(True).alias("known"))
+        keys = _union([_key_counts(tables[child], child, column) for child, column in children])
+        orphan = F.col("known").isNull() & F.col("key").isNotNull()
+        parts.append(
+            keys.join(known, "key", "left")
+            .groupBy("child_table", "child_column")
+            .agg(
+                F.lit(parent).alias("parent_table"),
+                count_where(orphan).alias("orphan_keys"),
+                zero(F.sum(F.when(orphan, F.col("n")))).alias("orphan_rows"),
+            )
         )
-        parents = tables[parent].select(F.col(parent_key).alias("key"))
-        parts.append(keys.join(parents, "key", "left_anti").agg(
-            F.lit(child).alias("child_table"),
-            F.lit(column).alias("child_column"),
-            F.lit(parent).alias("parent_table"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-        ))
     return _union(parts)
 
 
+def _key_counts(child: DataFrame, table: str, column: str) -> DataFrame:
+    """Distinct values of a child key with their row counts, null included."""
+    return (
+        child.groupBy(F.col(column).alias("key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(table).alias("child_table"), F.lit(column).alias("child_column"), "key", "n")
+    )
+
+
 def check_deal_customer(m: Model, child: str) -> DataFrame:
     """Child rows whose customer differs from the customer of their deal, per deal pair."""
     rows = (

@@ -66,9 +66,15 @@ def deal_stages(spark: SparkSession) -> DataFrame:
 
 
 def customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    places = nation.join(region, F.expr("n_regionkey = r_regionkey"), "left").selectExpr(
-        "n_nationkey as c_nationkey", "n_name", "r_name")
-    return customer.join(places, "c_nationkey", "left").selectExpr(
+    """Customers with country and region.
+
+    Nation and region are looked up one after the other, so that each is a bare
+    file whose size Spark knows and broadcasts by.
+    """
+    located = customer.join(
+        nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left"
+    ).join(region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "left")
+    return located.selectExpr(
         "c_custkey as customer_id",
         "c_name as company_name",
         "c_mktsegment as industry",
