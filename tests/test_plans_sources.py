@@ -9,7 +9,7 @@ from dealglass import views
 from dealglass.model import Model, ddl, required_columns
 from dealglass.operators import changes, pipeline, quality, revenue
 from dealglass.plans.ordering import ordered
-from dealglass.plans.skew import hot_keys, salted_join
+from dealglass.plans.skew import BUCKETS, hot_buckets, salted_join
 from dealglass.session import shared_folder
 from dealglass.sources import ingest, tables
 from fixtures import AS_OF, at, by
@@ -23,20 +23,30 @@ def skewed(spark):
     return spark.range(10_000).select(
         F.col("id").alias("row_id"),
         F.when(F.col("id") < 3400, 7).when(F.col("id") < 3500, F.lit(None))
-        .otherwise(F.col("id") % 500).alias("key"))
+        .otherwise(F.col("id") % 500).cast("int").alias("key"))
 
 
-def test_hot_keys_are_the_most_frequent(skewed):
-    assert hot_keys(skewed, "key", min_rows=1000).first()["hot"] == [7]
-    assert hot_keys(skewed, "key").first()["hot"] == []
-    assert len(hot_keys(skewed, "key", min_rows=1).first()["hot"]) == 128
+def test_hot_buckets_hold_the_dominating_key(spark, skewed):
+    hot = hot_buckets(skewed, "key", min_rows=1000).first()["hot"]
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(7)), F.lit(BUCKETS))).first()[0]
+    assert list(hot) == [bucket]
+    assert hot[bucket] == 3                         # a third of four partitions, and one more
+    assert hot_buckets(skewed, "key").first()["hot"] == {}
+    assert hot_buckets(skewed.limit(0), "key").first()["hot"] == {}
+    even = spark.range(100_000).withColumnRenamed("id", "key")
+    assert hot_buckets(even, "key", min_rows=1).first()["hot"] == {}
+
+
+def test_salted_join_needs_one_key_type(spark, skewed):
+    with pytest.raises(ValueError):
+        salted_join(skewed, spark.range(5).withColumnRenamed("id", "key"), "key", F.lit(1))
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("min_rows", [1, 1000, 10**9])
 def test_salted_join_equals_plain_join(spark, skewed, how, min_rows):
     dim = spark.range(0, 450).select(
-        F.col("id").alias("key"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+        F.col("id").cast("int").alias("key"), F.concat(F.lit("n"), F.col("id")).alias("name"))
     want = skewed.join(dim, "key", how)
     got = salted_join(skewed, dim, "key", F.col("row_id"), how, min_rows=min_rows)
     assert sorted(got.columns) == sorted(want.columns)
@@ -46,7 +56,7 @@ def test_salted_join_equals_plain_join(spark, skewed, how, min_rows):
 
 
 def test_salted_join_spreads_the_hot_key(spark, skewed):
-    dim = spark.range(500).withColumnRenamed("id", "key")
+    dim = spark.range(500).select(F.col("id").cast("int").alias("key"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
