@@ -76,6 +76,11 @@ def on(as_of: dt.date) -> Column:
     return F.lit(as_of)
 
 
+def moment(at: dt.datetime) -> Column:
+    """A wall-clock time without a zone; the same in every session time zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_until(as_of: dt.date, since: Column) -> Column:
     """Whole days from ``since`` up to ``as_of``; negative for a future date."""
     return F.datediff(on(as_of), day(since))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealglass.functions.columns import days_until
+from dealglass.functions.columns import days_until, moment
 from dealglass.model import RECORD_KEYS, Model
 from dealglass.plans import rollups
 
@@ -43,7 +43,7 @@ def audit_log_diff(
         .when(F.col("new").isNull(), "DELETE")
         .otherwise("UPDATE")
     )
-    at = F.lit(changed_at).cast("timestamp_ntz")
+    at = moment(changed_at)
     return (
         old.join(new, "_key", "full_outer")
         .where(~F.col("old").eqNullSafe(F.col("new")))
@@ -88,7 +88,7 @@ def detect_inactivity(
             "deal_id",
             F.lit("No Activity").alias("signal_type"),
             severity.alias("severity"),
-            F.lit(detected_at).cast("timestamp_ntz").alias("detected_at"),
+            moment(detected_at).alias("detected_at"),
             F.lit(False).alias("resolved"),
         )
     )

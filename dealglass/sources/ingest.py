@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealglass.functions.columns import dec, half_up
+from dealglass.functions.columns import dec, half_up, moment
 from dealglass.plans.skew import salted_join
 
 # Column defaults per table.  "now" is the load time.
@@ -35,7 +35,7 @@ def apply_defaults(rows: DataFrame, table: str, loaded_at: dt.datetime) -> DataF
     filled = {}
     for column, value in DEFAULTS[table].items():
         if value == "now":
-            default = F.lit(loaded_at).cast("timestamp_ntz")
+            default = moment(loaded_at)
         else:
             default = F.lit(value)
         if column in types:

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Session options for stateful streams: state on disk, checkpointed by its changes,
-# and sessions of one key merged inside each input partition before the shuffle, so that a key with many
-# rows does not send all of them to one task.
+# Session options for stateful streams.  Day windows are cut at midnight UTC, so
+# times without a zone are read as UTC.  State is kept on disk and checkpointed by
+# its changes.  Sessions of one key are merged inside each input partition before
+# the shuffle, so that a key with many rows does not send all of them to one task.
 STREAM_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -20,8 +22,8 @@ STREAM_SETTINGS = {
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session on the same cluster with the streaming options; the caller's stays as is."""
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        session.conf.set(key, spark.conf.get(key))
+    partitions = "spark.sql.shuffle.partitions"
+    session.conf.set(partitions, spark.conf.get(partitions))
     for key, value in STREAM_SETTINGS.items():
         session.conf.set(key, value)
     return session
