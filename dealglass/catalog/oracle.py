@@ -331,7 +331,10 @@ SQL["funnel_velocity"] = f"""WITH f AS (SELECT stage.stage_id, stage_name, prob,
     CASE WHEN pace > 45 THEN 'Slow' WHEN pace > 25 THEN 'Moderate' ELSE 'Fast' END
       AS velocity_status FROM g"""
 
-SQL["win_loss"] = f"""SELECT CASE WHEN won THEN 'Won' ELSE 'Lost' END AS outcome,
+SQL["win_loss"] = f"""WITH seg AS (SELECT customer_tier, industry, deal_source,
+      {pct(n_if("won"), n_if("closed"))} AS seg_rate
+      FROM staged JOIN cust USING (customer_id) GROUP BY ALL)
+    SELECT CASE WHEN won THEN 'Won' ELSE 'Lost' END AS outcome,
     {n()} AS total_deals, {avg_money("sum(val_c)", "count(*)")} AS avg_deal_value,
     {usd("sum(val_c)")} AS total_value,
     {over("sum(closed_on - created_on)", "count(closed_on)", 1)} AS avg_days_to_close,
@@ -340,8 +343,10 @@ SQL["win_loss"] = f"""SELECT CASE WHEN won THEN 'Won' ELSE 'Lost' END AS outcome
     {over("coalesce(sum(meets), 0)", "count(*)")} AS avg_meetings,
     {over("coalesce(sum(pos), 0)", "count(*)")} AS avg_positive_signals,
     {over("coalesce(sum(neg), 0)", "count(*)")} AS avg_negative_signals,
-    customer_tier, industry, deal_source, {pct(n_if("won"), "count(*)")} AS win_rate_percent
-    {DEAL_ROWS} WHERE closed GROUP BY won, customer_tier, industry, deal_source"""
+    customer_tier, industry, deal_source, {pct(n_if("won"), "count(*)")} AS win_rate_percent,
+    any_value(seg_rate) AS segment_win_rate_percent
+    {DEAL_ROWS} JOIN seg USING (customer_tier, industry, deal_source)
+    WHERE closed GROUP BY won, customer_tier, industry, deal_source"""
 
 SQL["revenue_by_month"] = f"""WITH t AS (SELECT *, lag(amt_c) OVER (PARTITION BY kind ORDER BY mon)
       AS prev_c FROM type_months)

@@ -49,7 +49,7 @@ def mean(total: Column, count: Column, digits: int = 2) -> Column:
 
 
 def count_where(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
+    return F.count_if(cond)
 
 
 def sum_where(cond: Column, value: Column) -> Column:

@@ -239,6 +239,8 @@ def funnel_velocity(m: Model, as_of: dt.date) -> DataFrame:
 def win_loss(m: Model) -> DataFrame:
     """Closed deals by outcome, tier, industry and source, with activity averages.
 
+    Outcome is part of the group, so ``win_rate_percent`` is 100 or 0;
+    ``segment_win_rate_percent`` is the rate over both outcomes of a segment.
     Deals are combined per customer, outcome and source before the customer
     attributes are joined, so at most ten rows per customer take part.
     """
@@ -264,6 +266,7 @@ def win_loss(m: Model) -> DataFrame:
         .agg(*[F.sum(name).alias(name) for name in sums])
     )
     n = F.col("n")
+    segment = Window.partitionBy("customer_tier", "industry", "deal_source")
     return grouped.select(
         "outcome",
         n.alias("total_deals"),
@@ -279,4 +282,6 @@ def win_loss(m: Model) -> DataFrame:
         "industry",
         "deal_source",
         percent(F.col("won_n"), n).alias("win_rate_percent"),
+        percent(F.sum("won_n").over(segment), F.sum(n).over(segment)).alias(
+            "segment_win_rate_percent"),
     ).orderBy("outcome", F.desc_nulls_first("total_value"))

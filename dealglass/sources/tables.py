@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dealglass.model import SCHEMAS, Model, ddl
 
@@ -23,10 +25,18 @@ def read_model(spark: SparkSession, folder: str, tables: list[str] | None = None
 
 
 def materialize(
-    result: DataFrame, path: str, partition_by: list[str] | None = None
+    result: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
-    """Writes a result as Parquet, replacing an earlier one, and reads it back."""
+    """Writes a result as Parquet, replacing an earlier one, and reads it back.
+
+    A stored result keeps the date it was computed for; ``as_of`` adds it as a column.
+    """
     spark = result.sparkSession
+    if as_of is not None:
+        result = result.withColumn("as_of", F.lit(as_of))
     writer = result.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,5 +1,7 @@
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from dealglass.functions import labels
 from dealglass.operators import pipeline
 from fixtures import AS_OF, at, by
@@ -90,3 +92,9 @@ def test_win_loss(small):
     assert won["avg_days_to_close"] == 50
     assert rows["Won", "SMB", "Referral"]["avg_activities"] == 0
     assert rows["Lost", "SMB", "Renewal"]["win_rate_percent"] == 0
+    assert rows["Lost", "SMB", "Renewal"]["segment_win_rate_percent"] == 0
+    both = small.replace(deals=small.deals.withColumn("deal_source", F.lit("Inbound")).withColumn(
+        "customer_id", F.lit("c1")))
+    mixed = by(pipeline.win_loss(both), "outcome")
+    assert mixed["Won"]["win_rate_percent"] == 100
+    assert {r["segment_win_rate_percent"] for r in mixed.values()} == {D("66.67")}

@@ -156,8 +156,9 @@ def test_materialize_replaces(spark, small):
     assert first.count() == 2
     jan = small.replace(
         revenue_records=small.revenue_records.where("revenue_date < '2024-02-01'"))
-    second = tables.materialize(revenue.monthly_revenue_summary(jan), folder)
-    assert second.count() == 1 and second.dtypes == summary.dtypes
+    second = tables.materialize(revenue.monthly_revenue_summary(jan), folder, as_of=AS_OF)
+    assert second.dtypes == [*summary.dtypes, ("as_of", "date")]
+    assert [r["as_of"] for r in second.collect()] == [AS_OF]
 
 
 def test_model_reads_declared_tables(spark, small):
