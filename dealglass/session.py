@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -30,6 +31,12 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
+@functools.cache
+def _local_base() -> str:
+    """One temporary folder per process, for local sessions only."""
+    return tempfile.mkdtemp(prefix="dealglass-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for ``purpose`` under the session's ``spark.checkpoint.dir``.
 
@@ -40,6 +47,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="dealglass-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

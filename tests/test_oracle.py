@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import differences, duck
+from dealglass.catalog.oracle import all_sql
+from dealglass.catalog.queries import all_queries
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,13 +20,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_same_result(spark, con, name):
-    sql = entry_point.oracle_sql()[name]
-    assert differences(entry_point.queries()[name](spark, FOLDER), con, sql) == []
+    sql = all_sql()[name]
+    assert differences(all_queries()[name](spark, FOLDER), con, sql) == []
 
 
 def test_entry(spark):
