@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealglass.llm import decontaminate, licenses, quality_rules, sharding
-from dealglass.llm.common import read
+from dealglass.llm import (
+    decontaminate, html_text, jaccard, language, licenses, packing, quality_model, quality_rules,
+    sharding, token_counts)
+from dealglass.llm.common import held_out, read
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,10 +33,43 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.learn(docs, read(spark, folder, "labels"))
+    scored = quality_model.with_scores(docs, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(read(spark, folder, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.with_counts(read(spark, folder, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "tokens.n_words", "tokens.n_tokens")
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(read(spark, folder, "documents"))
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract(read(spark, folder, "pages"))
+    return pages.select(
+        "page_id", "url", F.col("visible_text").alias("text"),
+        F.length("visible_text").cast("long").alias("n_chars"),
+        F.md5(F.col("visible_text").cast("binary")).alias("text_md5"),
+    )
+
+
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_records(read(spark, folder, "documents"))
     return placed.select(
@@ -43,7 +78,19 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred",
+        "language.score", F.array_join("language.languages", ",").alias("languages"),
+    )
+
+
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_decontamination, op6_quality_rules, op9_sharding)
+    for f in (
+        op1_license_scan, op2_decontamination, op3_quality_classifier, op4_jaccard_join,
+        op5_token_counts, op6_quality_rules, op7_html_text, op8_best_fit_packing, op9_sharding,
+        op10_language_id,
+    )
 }
