@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dealglass.llm.common import lower_ascii, matches, store
+from dealglass.llm.common import lower_ascii, store
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 13
 PROBES = 3  # rarest terms whose postings are intersected before the exact check
 MIN_SHARE = 20  # contaminated: one in so many words, or more, is hit
@@ -38,18 +39,40 @@ SALTS = 32
 KEY = ["__id", "__fp"]
 
 
+def spaced(text: Column) -> Column:
+    """The words with one space between them; empty for a null text."""
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    low = F.when(ascii_only, F.lower(text)).otherwise(lower_ascii(text))
+    return F.coalesce(F.trim(F.regexp_replace(low, BETWEEN, " ")), F.lit(""))
+
+
+def split_words(words: Column) -> Column:
+    none = F.array().cast("array<string>")
+    return F.when(words == "", none).otherwise(F.split(words, " ", -1))
+
+
 def tokens(text: Column) -> Column:
-    return matches(lower_ascii(text), WORD)
+    return split_words(spaced(text))
+
+
+def fingerprint(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, fingerprint, words) of each row."""
+    """(id, fingerprint, number of words, words) of each row.
+
+    The words are stored with single spaces between them: reading them again is
+    several times cheaper than finding them in the text again.
+    """
     col = F.col(f"`{text}`")
-    return docs.select(
-        F.col(f"`{doc_id}`").alias("__id"),
-        F.xxhash64(F.coalesce(col, F.lit(""))).alias("__fp"),
-        tokens(col).alias("__words"),
-    )
+    slim = docs.select(
+        F.col(f"`{doc_id}`").alias("__id"), fingerprint(col).alias("__fp"),
+        spaced(col).alias("__spaced"))
+    gaps = F.length("__spaced") - F.length(F.replace(F.col("__spaced"), F.lit(" ")))
+    n = F.when(F.col("__spaced") == "", 0).otherwise(gaps + 1).cast("long")
+    return store(slim.withColumn("__n", n), "words").select(
+        *KEY, "__n", split_words(F.col("__spaced")).alias("__words"))
 
 
 def windows(items: DataFrame, item_id: str, text: str, width: int = WIDTH) -> DataFrame:
@@ -68,9 +91,11 @@ def _few(terms: DataFrame) -> bool:
     return terms.limit(MAX_BROADCAST_TERMS + 1).count() <= MAX_BROADCAST_TERMS
 
 
+# The outer forms of explode: the plain ones have Spark check the array in a filter of
+# its own first, for which the words are split a second time.
 def term_counts(corpus: DataFrame, terms: DataFrame, few: bool) -> DataFrame:
     """How often each test term occurs in the corpus (absent terms: no row)."""
-    each = corpus.select(F.explode("__words").alias("term"))
+    each = corpus.select(F.explode_outer("__words").alias("term"))
     if few:
         return each.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("tf"))
     return each.groupBy("term").agg(F.count("*").alias("tf")).join(terms, "term")
@@ -106,7 +131,7 @@ def build_index(corpus: DataFrame, probe: DataFrame, few: bool, context: bool =
         F.max(F.when(first, F.col("offset"))).alias("left"),
         F.max(F.when(first, F.col("size") - F.col("offset"))).alias("right"),
     )
-    each = corpus.select(*KEY, "__words", F.posexplode("__words").alias("position", "term"))
+    each = corpus.select(*KEY, "__words", F.posexplode_outer("__words").alias("position", "term"))
     if few:
         held = each.join(F.broadcast(reach), "term")
     else:
@@ -229,7 +254,7 @@ def scan(
     wins = windows(items, item_id, item_text)
     hits = _hits(occurrences(corpus, wins), wins).select(
         F.col("__id").alias("h_id"), F.col("__fp").alias("h_fp"), "n_hit", "items")
-    rows = corpus.select(*KEY, F.size("__words").cast("long").alias("n_words"))
+    rows = corpus.select(*KEY, F.col("__n").alias("n_words"))
     same = F.col("__id").eqNullSafe(F.col("h_id")) & (F.col("__fp") == F.col("h_fp"))
     none = F.array().cast("array<string>")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
@@ -252,12 +277,10 @@ def drop_contaminated(
     wins = windows(items, item_id, item_text)
     hits = _hits(occurrences(corpus, wins), wins).select(
         F.col("__id").alias("h_id"), F.col("__fp").alias("h_fp"), "n_hit")
+    same = F.col("__id").eqNullSafe(F.col("h_id")) & (F.col("__fp") == F.col("h_fp"))
+    bad = corpus.select(*KEY, "__n").join(hits, same)
+    bad = bad.filter(F.col("n_hit") * MIN_SHARE >= F.col("__n")).select("h_id", "h_fp").distinct()
     packed = docs.select(
         F.struct("*").alias("__row"), F.col(f"`{doc_id}`").alias("__id"),
-        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__fp"),
-        F.size(tokens(F.col(f"`{text}`"))).alias("__n"))
-    bad = packed.filter("__n > 0").select(*KEY, "__n").join(
-        hits, F.col("__id").eqNullSafe(F.col("h_id")) & (F.col("__fp") == F.col("h_fp")))
-    bad = bad.filter(F.col("n_hit") * MIN_SHARE >= F.col("__n")).select("h_id", "h_fp").distinct()
-    same = F.col("__id").eqNullSafe(F.col("h_id")) & (F.col("__fp") == F.col("h_fp"))
-    return packed.join(bad, same, "left_anti").select("__row.*")
+        fingerprint(F.col(f"`{text}`")).alias("__fp"))
+    return packed.join(store(bad, "contaminated"), same, "left_anti").select("__row.*")
