@@ -625,6 +625,12 @@ def quoted(expr: str) -> str:
     return f"""'"' || {expr} || '"'"""
 
 
+def stable(*parts: str) -> str:
+    """The id of a natural key whose parts hold no quotes."""
+    doc = " || ',' || ".join(f"""'"k{i}":"' || {p} || '"'""" for i, p in enumerate(parts))
+    return f"md5('{{' || {doc} || '}}')"
+
+
 def snapshot(day: str) -> str:
     later = f"coalesce(closed_on > {day}, false)"
     doc = json_doc(
@@ -646,7 +652,7 @@ SQL["audit_log_diff"] = f"""WITH o AS ({snapshot("DATE '2000-01-01'")}), w AS ({
       CASE WHEN o.deal_id IS NULL THEN 'INSERT' WHEN w.deal_id IS NULL THEN 'DELETE'
            ELSE 'UPDATE' END AS act_name
       FROM o FULL JOIN w ON o.deal_id = w.deal_id WHERE o.doc IS DISTINCT FROM w.doc)
-    SELECT md5('deals|' || rid || '|' || act_name || '|2001-06-01 00:00:00') AS log_id,
+    SELECT {stable("'deals'", "rid", "act_name", "'2001-06-01 00:00:00'")} AS log_id,
     'deals' AS table_name, rid AS record_id, act_name AS action, old_doc AS old_data,
     new_doc AS new_data, 'loader' AS changed_by, '2001-06-01 00:00:00' AS changed_at
     FROM x"""
@@ -734,6 +740,17 @@ SQL["dq_unique"] = " UNION ALL ".join(
         ("customers", "company_name", "cust", "company_name"),
         ("deals", "deal_id", "deal", "deal_id"),
         ("deals", "customer_id, created_at", "deal", "customer_id, created_at"),
+        ("deal_stages", "stage_id", "stage", "stage_id"),
+        ("deal_stages", "stage_name", "stage", "stage_name"),
+        ("deal_stages", "stage_order", "stage", "stage_id"),
+        ("activities", "activity_id", "(SELECT line_id FROM line)", "line_id"),
+        ("revenue_records", "revenue_id", "rev", "revenue_id"),
+        ("forecasts", "assigned_rep, forecast_month", "fc", "rep, mon"),
+        ("monthly_revenue_summary", "revenue_month", "months", "mon"),
+        ("pipeline_health", "stage_name", "by_stage_active", "stage_name"),
+        ("customer_segments", "customer_tier, industry, country",
+         "(SELECT DISTINCT customer_tier, industry, country FROM cust)",
+         "customer_tier, industry, country"),
         ("products", "product_id", "prod", "product_id"),
         ("products", "product_name", "prod", "product_name"),
         ("deal_products", "deal_product_id", "line", "line_id"),
@@ -757,19 +774,77 @@ SQL["dq_orphans"] = " UNION ALL ".join(
          "customer_id"),
         ("churn_signals", "deal_id", "sig", "deal_id", "deals", "deal", "deal_id"),
     ])
-SQL["dq_deal_customer"] = f"""SELECT sig.deal_id, sig.customer_id, {n()} AS child_rows,
-    deal.customer_id AS deal_customer_id FROM sig JOIN deal USING (deal_id)
-    WHERE sig.customer_id IS DISTINCT FROM deal.customer_id GROUP BY ALL"""
-
-SQL["stream_audit"] = """SELECT
-    md5('churn_signals|' || signal_id || '|INSERT|' || rtrim(rtrim(strftime(detected_at,
-      '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')) AS log_id, 'churn_signals' AS table_name,
-    CAST(signal_id AS VARCHAR) AS record_id, 'INSERT' AS action,
-    CAST(to_json({'signal_id': signal_id, 'customer_id': customer_id, 'deal_id': deal_id,
-      'signal_type': kind, 'severity': severity,
-      'detected_at': strftime(detected_at, '%Y-%m-%dT%H:%M:%S.%f'), 'resolved': resolved})
-      AS VARCHAR) AS new_data,
-    'loader' AS changed_by, strftime(detected_at, '%Y-%m-%d %H:%M:%S') AS changed_at FROM sig"""
+SQL["dq_deal_customer"] = f"""WITH c AS (
+      SELECT 'churn_signals' AS child_table, deal_id, customer_id FROM sig
+      UNION ALL SELECT 'revenue_records', revenue_id, customer_id FROM rev)
+    SELECT child_table, c.deal_id, c.customer_id, {n()} AS child_rows,
+    deal.customer_id AS deal_customer_id FROM c JOIN deal USING (deal_id)
+    WHERE c.customer_id IS DISTINCT FROM deal.customer_id GROUP BY ALL"""
+
+def money(cents: str) -> str:
+    """Hundredths as a decimal number, in JSON."""
+    return (f"""CASE WHEN {cents} < 0 THEN '-' ELSE '' END || (abs({cents}) // 100) || '.'"""
+            f""" || lpad(CAST(abs({cents}) % 100 AS VARCHAR), 2, '0')""")
+
+
+def signal_doc(resolved: str) -> str:
+    return json_doc(
+        signal_id=text("signal_id"), customer_id=text("customer_id"), deal_id=text("deal_id"),
+        signal_type=quoted("kind"), severity=quoted("severity"),
+        detected_at=quoted("strftime(detected_at, '%Y-%m-%dT%H:%M:%S.%f')"),
+        resolved=text(resolved))
+
+
+CUSTOMER_DOC = json_doc(
+    customer_id=text("customer_id"), company_name=quoted("company_name"),
+    industry=quoted("industry"), country=quoted("country"), region=quoted("region"),
+    annual_revenue=money("bal_c"), customer_tier=quoted("customer_tier"), status=quoted("status"))
+REVENUE_DOC = json_doc(
+    revenue_id=text("revenue_id"), deal_id=text("revenue_id"), customer_id=text("customer_id"),
+    revenue_type=quoted("kind"), amount=money("amt_c"), revenue_date=quoted(text("billed_on")),
+    billing_period=quoted("period"), payment_status=quoted("paid"),
+    mrr_contribution=money("mrr_c"), arr_contribution=money("arr_c"))
+
+
+def audited(source: str, at: str) -> str:
+    """Audit rows from (tab, rid, act_name, old_doc, new_doc)."""
+    parts = ["tab", "rid", "act_name", at + " || '.000000'"]
+    doc = " || ',' || ".join(f"""'"k{i}":"' || {p} || '"'""" for i, p in enumerate(parts))
+    for i, p in enumerate(["old_doc", "new_doc"], len(parts)):
+        doc += f""" || ',"k{i}":' || coalesce('"' || md5({p}) || '"', 'null')"""
+    return f"""SELECT md5('{{' || {doc} || '}}') AS log_id, tab AS table_name, rid AS record_id,
+    act_name AS action, old_doc AS old_data, new_doc AS new_data, 'loader' AS changed_by,
+    {at} AS changed_at FROM ({source})"""
+
+
+def diff(table: str, before: str, after: str) -> str:
+    return f"""SELECT '{table}' AS tab, CAST(coalesce(o.k, w.k) AS VARCHAR) AS rid,
+      CASE WHEN o.k IS NULL THEN 'INSERT' WHEN w.k IS NULL THEN 'DELETE' ELSE 'UPDATE' END
+        AS act_name, o.doc AS old_doc, w.doc AS new_doc
+      FROM ({before}) o(k, doc) FULL JOIN ({after}) w(k, doc) ON o.k = w.k
+      WHERE o.doc IS DISTINCT FROM w.doc"""
+
+
+SQL["stream_audit"] = audited(" UNION ALL ".join([
+    diff("customers", f"SELECT customer_id, {CUSTOMER_DOC} FROM cust WHERE false",
+         f"SELECT customer_id, {CUSTOMER_DOC} FROM cust"),
+    diff("deals", snapshot("DATE '2000-01-01'"), snapshot(AS_OF)),
+    diff("revenue_records",
+         f"SELECT revenue_id, {REVENUE_DOC} FROM rev WHERE billed_on <= DATE '2000-01-01'",
+         f"SELECT revenue_id, {REVENUE_DOC} FROM rev"),
+    diff("churn_signals",
+         f"SELECT signal_id, {signal_doc('false')} FROM sig"
+         " WHERE detected_at < TIMESTAMP '2024-01-15'",
+         f"SELECT signal_id, {signal_doc('resolved')} FROM sig"),
+]), "'2001-06-01 00:00:00'")
+SIGNAL_DOC = json_doc(
+    signal_id=quoted("signal_id"), customer_id=text("customer_id"), deal_id=text("deal_id"),
+    signal_type=quoted("signal_type"), severity=quoted("severity"),
+    detected_at="""'"2001-06-01T00:00:00.000000"'""", resolved=text("resolved"))
+SQL["inactivity_audit"] = audited(
+    f"""SELECT 'churn_signals' AS tab, signal_id AS rid, 'INSERT' AS act_name,
+    CAST(NULL AS VARCHAR) AS old_doc, {SIGNAL_DOC} AS new_doc FROM ({SQL["detect_inactivity"]})""",
+    "'2001-06-01 00:00:00'")
 
 MARK = "(SELECT max(on_day) - 1 FROM act)"
 SQL["stream_inactivity"] = f"""WITH d AS (SELECT deal_id, on_day, count(*) AS k FROM act GROUP BY ALL),
@@ -778,9 +853,11 @@ SQL["stream_inactivity"] = f"""WITH d AS (SELECT deal_id, on_day, count(*) AS k
     i AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY deal_id ORDER BY on_day) AS isl
       FROM g),
     s AS (SELECT deal_id, max(on_day) AS last_on, sum(k) AS k FROM i GROUP BY deal_id, isl)
-    SELECT deal_id, 'No Activity' AS signal_type, 'Medium' AS severity,
+    SELECT deal_id, customer_id, 'No Activity' AS signal_type, 'Medium' AS severity,
     {text("last_on")} AS last_activity_date, {text("last_on + 31")} AS detected_on,
-    false AS resolved, {big("k")} AS activities FROM s WHERE last_on + 31 <= {MARK}"""
+    false AS resolved, {big("k")} AS activities FROM s JOIN deal USING (deal_id)
+    WHERE s.last_on + 31 <= {MARK} AND NOT EXISTS (SELECT 1 FROM sig
+      WHERE sig.deal_id = s.deal_id AND NOT resolved AND kind = 'No Activity')"""
 SQL["stream_activity_daily"] = f"""SELECT {text("on_day")} AS activity_day, kind AS activity_type,
     {n()} AS activities, {big(n_if("outcome = 'Positive'"))} AS positives
     FROM act WHERE on_day + 1 <= {MARK} GROUP BY on_day, kind"""
@@ -868,7 +945,7 @@ SQL["scalar_strings"] = """SELECT customer_id, company_name || ' - ' || industry
 SQL["scalar_json"] = """SELECT event_id, props->>'$.k' AS k_text,
     CAST(props->>'$.k' AS BIGINT) AS k_number, CAST(NULL AS VARCHAR) AS missing FROM events"""
 SQL["stable_ids"] = f"""SELECT deal_id,
-    md5(deal_name || '|' || customer_id || '|' || {stamp("created_at")}) AS stable_id FROM deal"""
+    {stable("deal_name", "customer_id", stamp("created_at"))} AS stable_id FROM deal"""
 
 
 def all_sql() -> dict[str, str]:

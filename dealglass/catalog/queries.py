@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ ModelQuery = Callable[[Model, dt.date], DataFrame]
 BANDS = (3000, 7000)
 RUN_AT = dt.datetime(2001, 6, 1)
 SNAPSHOT_BEFORE = dt.date(2000, 1, 1)
+SIGNALS_BEFORE = dt.datetime(2024, 1, 15)
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -86,15 +88,19 @@ ANALYTICS: dict[str, ModelQuery] = {
     "dq_range": lambda m, d: quality.check_ranges(
         m, {("customers", "annual_revenue"): "annual_revenue >= 0"}),
     "dq_not_null": lambda m, d: quality.check_not_null(m),
-    "dq_unique": lambda m, d: quality.check_unique(m, {
-        "customers": [["customer_id"], ["company_name"]],
-        "deals": [["deal_id"], ["customer_id", "created_at"]],
-        "products": [["product_id"], ["product_name"]],
-        "deal_products": [["deal_product_id"], ["deal_id", "product_id"]],
-        "churn_signals": [["signal_id"]],
+    "dq_unique": lambda m, d: quality.check_unique(m, more={
+        "customers": [["company_name"]],
+        "deals": [["customer_id", "created_at"]],
+        "deal_products": [["deal_id", "product_id"]],
+        "forecasts": [["assigned_rep", "forecast_month"]],
+    }, results={
+        "monthly_revenue_summary": (revenue.monthly_revenue_summary(m), ["revenue_month"]),
+        "pipeline_health": (pipeline.pipeline_health(m, d), ["stage_name"]),
+        "customer_segments": (
+            customers.customer_segments(m), ["customer_tier", "industry", "country"]),
     }),
     "dq_orphans": lambda m, d: quality.check_orphans(m),
-    "dq_deal_customer": lambda m, d: quality.check_deal_customer(m, "churn_signals"),
+    "dq_deal_customer": lambda m, d: quality.check_deal_customer(m),
 }
 
 PRIMITIVES: dict[str, ModelQuery] = {
@@ -136,11 +142,50 @@ def _feed(session: SparkSession, folder: str, table: str) -> DataFrame:
     return run.read_stream(session, folder, table, orders.FILE_SCHEMAS[table])
 
 
+def _changes(m: Model) -> DataFrame:
+    """Changes of the four audited tables from an earlier state to the given one."""
+    day = F.lit(SNAPSHOT_BEFORE)
+    signals, records = m.churn_signals, m.revenue_records
+    earlier = {
+        "customers": m.customers.where(F.lit(False)),
+        "deals": orders.deals_as_of(m, SNAPSHOT_BEFORE),
+        "revenue_records": records.where(F.col("revenue_date") <= day),
+        "churn_signals": signals.where(F.col("detected_at") < F.lit(SIGNALS_BEFORE)).withColumn(
+            "resolved", F.lit(False)),
+    }
+    now = {**m.tables(), "deals": orders.deals_as_of(m, orders.AS_OF)}
+    each = [
+        changes.audit_log_diff(before, now[table], table, "loader", RUN_AT).drop("log_id")
+        for table, before in earlier.items()]
+    return functools.reduce(DataFrame.unionByName, each)
+
+
 def stream_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """A change feed of four tables, delivered twice, into the audit table."""
     session = run.stream_session(spark)
-    signals = orders.churn_signals(_feed(session, folder, "events"))
-    audit = flows.audit_inserts(signals, "churn_signals", "detected_at", "loader")
-    return run.append_to(audit, shared_folder(spark, "stream-audit"))
+    feed = shared_folder(spark, "change-feed")
+    found = _changes(orders.model(session, folder))
+    for _ in range(2):
+        found.write.mode("append").parquet(f"{feed}/changes.parquet")
+    changed = run.read_stream(session, feed, "changes", found.schema)
+    table = run.append_new_to(
+        flows.audit_changes(changed), shared_folder(spark, "stream-audit"), "log_id",
+        "changed_day")
+    return table.drop("changed_day")
+
+
+def inactivity_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Activities to signals to audit rows, appended to stored tables in two runs."""
+    m = orders.model(spark, folder)
+    signals, audit = shared_folder(spark, "signals"), shared_folder(spark, "signal-audit")
+    for _ in range(2):
+        tables.append(
+            changes.detect_inactivity(m, orders.AS_OF, RUN_AT), signals, ["signal_id"])
+        stored = spark.read.parquet(signals)
+        found = flows.audit_changes(
+            flows.inserted(stored, "churn_signals", "detected_at", "loader"))
+        tables.append(found, audit, ["log_id"], ["changed_day"])
+    return spark.read.schema(found.schema).parquet(audit).drop("changed_day")
 
 
 def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,7 +199,9 @@ def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
 def stream_inactivity(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
     touches = orders.activities(_feed(session, folder, "lineitem"))
-    return run.append_to(flows.inactivity(touches), shared_folder(spark, "stream-inactivity"))
+    m = orders.model(session, folder)
+    signals = flows.guarded(flows.inactivity(touches), m.deals, m.churn_signals)
+    return run.append_to(signals, shared_folder(spark, "stream-inactivity"))
 
 
 def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,7 +213,7 @@ def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
 OTHERS: dict[str, Query] = {
     f.__name__: f
     for f in (
-        scalar_json, mv_roundtrip, stream_audit, stream_monthly_revenue, stream_inactivity,
+        scalar_json, mv_roundtrip, inactivity_audit, stream_audit, stream_monthly_revenue, stream_inactivity,
         stream_activity_daily,
     )
 }

@@ -84,3 +84,12 @@ def moment(at: dt.datetime) -> Column:
 def days_until(as_of: dt.date, since: Column) -> Column:
     """Whole days from ``since`` up to ``as_of``; negative for a future date."""
     return F.datediff(on(as_of), day(since))
+
+
+def stable_id(*natural_key: Column) -> Column:
+    """An id from the natural key: the same row gets the same id on every load.
+
+    The parts are hashed as a JSON object, so nulls and separators count.
+    """
+    parts = [c.cast("string").alias(f"k{i}") for i, c in enumerate(natural_key)]
+    return F.md5(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}))

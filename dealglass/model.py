@@ -148,6 +148,12 @@ def required_columns(table: str) -> list[str]:
     return [part.split()[0] for part in flat.split(", ") if part.endswith("!")]
 
 
+def column_type(table: str, column: str) -> str:
+    """Declared type of a column of a domain table."""
+    flat = " ".join(SCHEMAS[table].split()).replace("!", "")
+    return dict(part.split(" ", 1) for part in flat.split(", "))[column]
+
+
 class Model:
     """The domain tables by name, as attributes.
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealglass.functions.columns import days_until, moment
+from dealglass.functions.columns import days_until, moment, stable_id
 from dealglass.model import RECORD_KEYS, Model
 from dealglass.plans import rollups
 
@@ -21,8 +21,14 @@ def as_json(row: Column) -> Column:
 
 def audit_id(table: str, at: Column) -> Column:
     """Stable log id, so a repeated run writes the same rows again."""
-    return F.md5(F.concat_ws(
-        "|", F.lit(table), F.col("record_id"), F.col("action"), at.cast("string")))
+    return stable_id(F.lit(table), F.col("record_id"), F.col("action"), at)
+
+
+def _aligned(rows: DataFrame, other: DataFrame) -> list[Column]:
+    """Columns of both snapshots by name; null where this one lacks a column."""
+    mine = set(rows.columns)
+    added = [f for f in other.schema.fields if f.name not in mine]
+    return [*rows.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]]
 
 
 def audit_log_diff(
@@ -32,12 +38,15 @@ def audit_log_diff(
 
     The record key comes from an explicit map, since table and key names do not
     follow one pattern.  Keys are unique, so the full outer join cannot skew;
-    rows are compared as typed columns and only changed ones become JSON.
+    rows are compared as typed columns and only changed ones become JSON.  A
+    column that one snapshot lacks is null there.
     """
     key = RECORD_KEYS[table]
-    columns = before.columns
-    old = before.select(F.col(key).alias("_key"), F.struct(*columns).alias("old"))
-    new = after.select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
+    both = [*before.columns, *[c for c in after.columns if c not in before.columns]]
+    old = before.select(*_aligned(before, after)).select(
+        F.col(key).alias("_key"), F.struct(*both).alias("old"))
+    new = after.select(*_aligned(after, before)).select(
+        F.col(key).alias("_key"), F.struct(*both).alias("new"))
     action = (
         F.when(F.col("old").isNull(), "INSERT")
         .when(F.col("new").isNull(), "DELETE")

@@ -66,7 +66,7 @@ def cohort_table(m: Model, low_revenue: int, high_revenue: int) -> DataFrame:
     """
     place = "region" if "region" in m.customers.columns else "country"
     deals = (
-        rollups.staged_deals(m)
+        rollups.staged_deals(m, "left")
         .groupBy("customer_id")
         .agg(
             F.sum(F.when(F.col("is_won"), F.col("deal_value"))).alias("won_value"),

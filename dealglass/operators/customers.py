@@ -9,6 +9,7 @@ tables); the multiplication is arithmetic on the rollups.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ def _rows(col: Column) -> Column:
     return F.greatest(zero(col), F.lit(1))
 
 
+def _times(*counts: Column) -> Column:
+    """Product of row counts; null beyond 64 bits, where such a figure means nothing."""
+    return reduce(F.try_multiply, counts)
+
+
 def customer_health(m: Model, as_of: dt.date, fan_out: bool = False) -> DataFrame:
     """Per customer: deals, activities, churn signals, health score and status."""
     base = (
@@ -138,8 +144,8 @@ def customer_lifetime_value(
     one = F.lit(1)
     deal_rows, touch_rows = _rows(F.col("deals")), _rows(F.col("total_activities"))
     bill_rows, signal_rows = _rows(F.col("records")), _rows(F.col("open_signals"))
-    deal_times = touch_rows * bill_rows * signal_rows if fan_out else one
-    bill_times = deal_rows * touch_rows * signal_rows if fan_out else one
+    deal_times = _times(touch_rows, bill_rows, signal_rows) if fan_out else one
+    bill_times = _times(deal_rows, touch_rows, signal_rows) if fan_out else one
     won = _cash(F.col("won_value")) * deal_times
     age = days_until(as_of, F.col("first_deal_date"))
     # integer division truncates towards zero, also for a first deal after as_of
@@ -156,7 +162,7 @@ def customer_lifetime_value(
         "industry",
         won.alias("total_revenue"),
         zero(F.col("deals")).alias("total_deals"),
-        (zero(F.col("won_deals")) * deal_times).alias("won_deals"),
+        F.try_multiply(zero(F.col("won_deals")), deal_times).alias("won_deals"),
         mean(F.col("won_value"), F.col("won_deals")).alias("avg_deal_value"),
         zero(F.col("total_activities")).alias("total_activities"),
         "first_deal_date",

@@ -79,11 +79,23 @@ def check_not_null(m: Model) -> DataFrame:
     ])
 
 
-def check_unique(m: Model, keys: dict[str, list[list[str]]] | None = None) -> DataFrame:
-    """Per key: values that occur more than once, and the rows they hold."""
+def check_unique(
+    m: Model,
+    more: dict[str, list[list[str]]] | None = None,
+    results: dict[str, tuple[DataFrame, list[str]]] | None = None,
+) -> DataFrame:
+    """Per key: values that occur more than once, and the rows they hold.
+
+    Checked are the keys of the domain tables, ``more`` keys of them, and one key
+    of each of the ``results``.
+    """
     tables = m.tables()
+    keys = {t: [*groups, *(more or {}).get(t, [])] for t, groups in UNIQUE_KEYS.items()}
+    for name, (result, columns) in (results or {}).items():
+        tables = {**tables, name: result}
+        keys[name] = [columns]
     parts = []
-    for table, groups in (keys or UNIQUE_KEYS).items():
+    for table, groups in keys.items():
         for columns in groups:
             if table in tables and set(columns) <= set(tables[table].columns):
                 counts = tables[table].groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
@@ -135,13 +147,20 @@ def _key_counts(child: DataFrame, table: str, column: str) -> DataFrame:
     )
 
 
-def check_deal_customer(m: Model, child: str) -> DataFrame:
-    """Child rows whose customer differs from the customer of their deal, per deal pair."""
-    rows = (
-        m.tables()[child].where(F.col("deal_id").isNotNull())
+def check_deal_customer(m: Model) -> DataFrame:
+    """Child rows whose customer differs from the customer of their deal, per deal pair.
+
+    All child tables that name both meet the deals in one join.
+    """
+    children = [
+        (name, table) for name, table in m.tables().items()
+        if name != "deals" and {"deal_id", "customer_id"} <= set(table.columns)]
+    rows = _union([
+        table.where(F.col("deal_id").isNotNull())
         .groupBy("deal_id", "customer_id")
-        .agg(F.count(F.lit(1)).alias("child_rows"))
-    )
+        .agg(F.lit(name).alias("child_table"), F.count(F.lit(1)).alias("child_rows"))
+        for name, table in children
+    ])
     owners = m.deals.select("deal_id", F.col("customer_id").alias("deal_customer_id"))
     return rows.join(owners, "deal_id").where(
         ~F.col("customer_id").eqNullSafe(F.col("deal_customer_id")))

@@ -8,17 +8,13 @@ from pyspark.sql import functions as F
 from dealglass.functions.columns import count_where
 from dealglass.model import Model
 from dealglass.plans import rollups
-from dealglass.plans.skew import salted_join
 
 
 def owned_products(m: Model) -> DataFrame:
     """One row per customer and owned product, with the product's attributes."""
     catalogue = m.products.select(
         "product_id", "product_name", "product_category", "unit_price", "is_active")
-    return salted_join(
-        rollups.customer_products(m), catalogue, "product_id", spread=F.col("customer_id"),
-        count_on=m.deal_products,
-    )
+    return rollups.customer_products(m).join(catalogue, "product_id")
 
 
 def upsell_opportunities(m: Model) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from dealglass.functions.columns import count_where, day, sum_where
 from dealglass.model import Model
-from dealglass.plans.skew import salted_join
 
 STAGE_COLUMNS = ["stage_id", "stage_name", "stage_order", "probability", "is_closed", "is_won"]
 
@@ -24,9 +23,12 @@ def stages(m: Model) -> DataFrame:
     return m.deal_stages.select(*STAGE_COLUMNS)
 
 
-def staged_deals(m: Model) -> DataFrame:
-    """Deals with their stage attributes; Spark broadcasts the stage table by its size."""
-    return m.deals.join(stages(m), "stage_id")
+def staged_deals(m: Model, how: str = "inner") -> DataFrame:
+    """Deals with their stage attributes; Spark broadcasts the stage table by its size.
+
+    ``how="left"`` keeps deals of an unknown stage, as figures per customer do.
+    """
+    return m.deals.join(stages(m), "stage_id", how)
 
 
 def is_lost() -> Column:
@@ -90,7 +92,7 @@ def deal_measures() -> list[Column]:
 
 def customer_deals(m: Model) -> DataFrame:
     """Per customer: deal counts by result, won value, first and last creation date."""
-    return staged_deals(m).groupBy("customer_id").agg(*deal_measures())
+    return staged_deals(m, "left").groupBy("customer_id").agg(*deal_measures())
 
 
 def customer_book(m: Model) -> DataFrame:
@@ -102,7 +104,7 @@ def customer_book(m: Model) -> DataFrame:
     if "customer_id" in m.activities.columns:
         return customer_deals(m).join(customer_activity(m), "customer_id", "full_outer")
     return (
-        staged_deals(m)
+        staged_deals(m, "left")
         .join(deal_activity(m.activities), "deal_id", "left")
         .groupBy("customer_id")
         .agg(
@@ -205,12 +207,12 @@ def rep_deals(m: Model, as_of: dt.date) -> DataFrame:
 def customer_products(m: Model) -> DataFrame:
     """Per customer and product: value of the lines on won deals.
 
-    The deal lookup spreads a deal that dominates the line table.
+    The lines are read once; Spark splits the part of a deal that dominates them.
     """
     won = staged_deals(m).where("is_won").select("deal_id", "customer_id")
     lines = m.deal_products.select("deal_id", "product_id", "total_value")
     return (
-        salted_join(lines, won, "deal_id", spread=F.col("product_id"), count_on=m.deal_products)
+        lines.join(won, "deal_id")
         .groupBy("customer_id", "product_id")
         .agg(F.sum("total_value").alias("owned_value"))
     )

@@ -59,7 +59,8 @@ def salted_join(
     a hash of ``spread``, and the dimension rows of that bucket (one in
     ``BUCKETS``) are repeated per slice; everything else has slice 0.  Each fact
     row meets its dimension row exactly once, so the result equals the plain
-    join whatever the map says.  ``count_on`` names a base table to count keys
+    join whatever the map says.  Rows without a key match nothing and are always
+    spread over all partitions.  ``count_on`` names a base table to count keys
     on when ``facts`` itself is expensive to compute.
     """
     if how not in ("inner", "left"):
@@ -68,7 +69,10 @@ def salted_join(
         raise ValueError(f"cast {key} to one type on both sides")
     hot = hot_buckets(facts if count_on is None else count_on, key, min_rows).scalar()
     slices = F.coalesce(F.try_element_at(hot, _bucket(key)), F.lit(1))
+    # Slices are hashed to partitions, so many of them fall evenly.
+    everywhere = 32 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = F.when(F.col(key).isNull(), everywhere).otherwise(slices)
     left = facts.withColumn(
-        "_slice", F.coalesce(F.pmod(F.xxhash64(spread), slices).cast("int"), F.lit(0)))
+        "_slice", F.coalesce(F.pmod(F.xxhash64(spread), wanted).cast("int"), F.lit(0)))
     right = dim.withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
     return left.join(right, [key, "_slice"], how).drop("_slice")

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealglass.functions.columns import dec, half_up, moment
+from dealglass.functions.columns import dec, half_up, moment, stable_id  # noqa: F401
+from dealglass.model import column_type
 from dealglass.plans.skew import salted_join
 
 # Column defaults per table.  "now" is the load time.
@@ -41,7 +42,7 @@ def apply_defaults(rows: DataFrame, table: str, loaded_at: dt.datetime) -> DataF
         if column in types:
             filled[column] = F.coalesce(F.col(column), default.cast(types[column]))
         else:
-            filled[column] = default
+            filled[column] = default.cast(column_type(table, column))
     return rows.withColumns(filled)
 
 
@@ -52,11 +53,6 @@ def line_total(lines: DataFrame) -> DataFrame:
     return lines.withColumn("total_value", half_up(total).cast("decimal(15,2)"))
 
 
-def stable_id(*natural_key: Column) -> Column:
-    """An id from the natural key: the same row gets the same id on every load."""
-    return F.md5(F.concat_ws("|", *[c.cast("string") for c in natural_key]))
-
-
 def resolve_key(
     rows: DataFrame, name: str, parents: DataFrame, parent_name: str, parent_id: str,
     spread: Column, out: str,

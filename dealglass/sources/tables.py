@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,27 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
-def append(rows: DataFrame, path: str) -> None:
-    """Adds new rows (for example detected signals) to a stored table."""
-    rows.write.mode("append").parquet(path)
+def append(
+    rows: DataFrame, path: str, key: list[str], partition_by: list[str] | None = None
+) -> None:
+    """Adds those rows to a stored table whose key it does not hold yet.
+
+    Running a job again therefore changes nothing.  Of a partitioned table only
+    the partitions of the new rows are looked at, so the key must belong to one
+    partition (an id and the day it was made).  Of repeated new rows one is kept.
+    """
+    spark = rows.sparkSession
+    by = partition_by or []
+    new = rows.dropDuplicates(key)
+    try:
+        held = spark.read.schema(rows.schema).parquet(path).select(*{*key, *by})
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        if by:
+            held = held.join(rows.select(*by).distinct(), by, "left_semi")
+        same = reduce(and_, [new[c].eqNullSafe(held[c]) for c in key])
+        new = new.join(held, same, "left_anti")
+    writer = new.select(*rows.columns).write.mode("append")
+    (writer.partitionBy(*by) if by else writer).parquet(path)

@@ -5,31 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealglass.functions.columns import month, sum_where
+from dealglass.functions.columns import month, stable_id, sum_where
 from dealglass.model import RECORD_KEYS
-from dealglass.operators.changes import as_json, audit_id
+from dealglass.operators.changes import as_json
 
 
-def audit_inserts(
-    rows: DataFrame, table: str, changed_at: str, changed_by: str, delay: str = "1 hour"
+def audit_changes(changes: DataFrame) -> DataFrame:
+    """Audit rows of a change feed, with their id and the day they belong to.
+
+    ``changes`` has table_name, record_id, action (INSERT, UPDATE or DELETE),
+    old_data and new_data (JSON), changed_by and changed_at.  The id covers the
+    change and both documents, so a redelivered change has the same one; write
+    with ``run.append_new_to`` by ``log_id`` and ``changed_day``.
+    """
+    log_id = stable_id(
+        F.col("table_name"), F.col("record_id"), F.col("action"),
+        F.date_format(F.col("changed_at").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        F.md5("old_data"), F.md5("new_data"))
+    return changes.select(
+        log_id.alias("log_id"), "table_name", "record_id", "action", "old_data", "new_data",
+        "changed_by", "changed_at", F.to_date("changed_at").alias("changed_day"))
+
+
+def inserted(
+    rows: DataFrame, table: str, changed_at: str, changed_by: str
 ) -> DataFrame:
-    """Audit rows for a feed of inserted records; a record redelivered within the
-    watermark is written once."""
-    key = RECORD_KEYS[table]
-    at = F.col("changed_at")
-    return (
-        rows.withColumn("_at", F.col(changed_at).cast("timestamp"))
-        .withWatermark("_at", delay)
-        .dropDuplicatesWithinWatermark([key])
-        .select(
-            F.lit(table).alias("table_name"),
-            F.col(key).cast("string").alias("record_id"),
-            F.lit("INSERT").alias("action"),
-            as_json(F.struct(*rows.columns)).alias("new_data"),
-            F.lit(changed_by).alias("changed_by"),
-            F.col(changed_at).alias("changed_at"),
-        )
-        .select(audit_id(table, at).alias("log_id"), "*")
+    """The change feed of a feed of new records."""
+    return rows.select(
+        F.lit(table).alias("table_name"),
+        F.col(RECORD_KEYS[table]).cast("string").alias("record_id"),
+        F.lit("INSERT").alias("action"),
+        F.lit(None).cast("string").alias("old_data"),
+        as_json(F.struct(*rows.columns)).alias("new_data"),
+        F.lit(changed_by).alias("changed_by"),
+        F.col(changed_at).alias("changed_at"),
     )
 
 
@@ -52,6 +61,23 @@ def monthly_revenue(records: DataFrame) -> DataFrame:
     )
 
 
+def guarded(signals: DataFrame, deals: DataFrame, churn_signals: DataFrame) -> DataFrame:
+    """Inactivity signals of known deals without an open one, with their customer.
+
+    ``deals`` and ``churn_signals`` are stored tables, read anew for each batch.
+    """
+    kind, closed = F.col("signal_type") == "No Activity", F.col("resolved")
+    alerted = churn_signals.where(kind & ~closed).select(
+        "deal_id", F.lit(True).alias("_open")).distinct()
+    owners = deals.select("deal_id", "customer_id")
+    return (
+        signals.join(owners, "deal_id")
+        .join(alerted, "deal_id", "left")
+        .where(F.col("_open").isNull())
+        .drop("_open")
+    )
+
+
 def inactivity(activities: DataFrame, idle_days: int = 30, delay: str = "1 day") -> DataFrame:
     """A "No Activity" signal for each gap of more than ``idle_days`` in a deal.
 
@@ -59,7 +85,8 @@ def inactivity(activities: DataFrame, idle_days: int = 30, delay: str = "1 day")
     last allowed idle day holds gaps of ``idle_days`` together and splits longer
     ones, also when a clock change makes a day an hour shorter.  A gap is
     emitted once the watermark passes it, even when the deal was touched again
-    in the meantime.
+    in the meantime.  An activity that comes later than ``delay`` is not counted,
+    so it can leave a gap that was none; ``run.append_to`` tells how many did.
     """
     on_day = F.date_trunc("day", F.col("activity_date").cast("timestamp"))
     session = F.session_window("activity_day", f"{idle_days} days 12 hours")

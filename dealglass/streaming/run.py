@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from dealglass.sources.tables import append
 
 # Session options for stateful streams.  Day windows are cut at midnight UTC, so
 # times without a zone are read as UTC.  State is kept on disk and checkpointed by
@@ -29,16 +33,31 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def read_stream(session: SparkSession, folder: str, table: str, schema: str) -> DataFrame:
-    """A table's Parquet files as a stream.
+def read_stream(
+    session: SparkSession, folder: str, table: str, schema: str | StructType,
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """A table's Parquet files as a stream, at most ``files_per_batch`` in a batch.
 
     The trailing pattern lets the table be a folder or a single file.
     """
-    return session.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{table}.parquet*")
+    reader = session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder.rstrip('/')}/{table}.parquet*")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them, in the last batches."""
+    return sum(
+        state.numRowsDroppedByWatermark for p in query.recentProgress for state in p.stateOperators)
 
 
-def append_to(stream: DataFrame, folder: str) -> DataFrame:
-    """Runs an append stream until its input is used up; returns the written table."""
+def append_to(
+    stream: DataFrame, folder: str, on_late: Callable[[int], None] | None = None
+) -> DataFrame:
+    """Runs an append stream until its input is used up; returns the written table.
+
+    ``on_late`` is told how many rows were too late to count.
+    """
     query = (
         stream.writeStream.outputMode("append")
         .format("parquet")
@@ -48,9 +67,30 @@ def append_to(stream: DataFrame, folder: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    if on_late is not None:
+        on_late(late_rows(query))
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
+def append_new_to(stream: DataFrame, folder: str, key: str, partition: str) -> DataFrame:
+    """Runs a stream whose rows are appended once per ``key``; returns the table.
+
+    There is no state and no watermark: a row of any age is written to its
+    partition unless that partition has its key, also when a batch is repeated
+    or a row is delivered again in a later one.
+    """
+    path = f"{folder}/data"
+    query = (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(lambda batch, _: append(batch, path, [key], [partition]))
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
 def upsert_by(stream: DataFrame, key: str, folder: str) -> DataFrame:
     """Runs an aggregating stream whose changed groups replace their partition.
 

@@ -5,6 +5,8 @@ import itertools
 from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from dealglass.functions import labels
 from dealglass.operators import cohorts, customers, upsell
 from fixtures import (
@@ -149,3 +151,22 @@ def test_upsell(small):
     assert rows["Dune"]["potential_expansion_value"] == 0
     lists = by(upsell.owned_categories(small), "customer_id")
     assert lists["c1"]["owned_categories"] == "Core, Legacy"
+
+
+def test_deals_of_an_unknown_stage_count(small):
+    lost = small.replace(deals=small.deals.withColumn("stage_id", F.lit("s9")))
+    for fan_out in (False, True):
+        health = by(customers.customer_health(lost, AS_OF, fan_out), "customer_id")
+        assert {k: r["total_deals"] for k, r in health.items()} == {
+            "c1": 3, "c2": 2, "c3": 0, "c4": 2}
+        assert {r["total_revenue"] for r in health.values()} == {D(0)}
+        value = by(customers.customer_lifetime_value(lost, AS_OF, fan_out=fan_out), "customer_id")
+        assert {k: r["total_deals"] for k, r in value.items()} == {
+            "c1": 3, "c2": 2, "c3": 0, "c4": 2}
+        assert value["c1"]["first_deal_date"] is not None
+        segments = customers.customer_segments(lost, fan_out).collect()
+        assert sum(r["total_deals"] for r in segments) == 7
+    grown = cohorts.cohort_analysis(lost).collect()
+    whole = cohorts.cohort_analysis(small).collect()
+    size = {r["cohort_month"]: r["cohort_size"] for r in whole}
+    assert {r["cohort_month"]: r["cohort_size"] for r in grown} == size

@@ -1,5 +1,8 @@
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
 from decimal import Decimal as D
 
 import pytest
@@ -68,6 +71,73 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_without_a_key_are_spread(spark):
+    rows = spark.range(40_000).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") >= 30_000, F.col("id")).alias("key"))
+    dim = spark.range(30_000, 40_000).withColumnRenamed("id", "key")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = salted_join(rows, dim, "key", F.col("row_id"), "left")
+        tasks = joined.where("key is null").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 15_000
+    assert sum(r["count"] for r in tasks) == 30_000
+
+
+def test_ids_tell_nulls_and_separators_apart(spark):
+    keys = [("a", None, "c"), ("a", "c", None), ("a|c", None, None), ("a", "", "c"), ("a", "|", "c")]
+    rows = spark.createDataFrame(keys, "x string, y string, z string")
+    ids = rows.select(ingest.stable_id(F.col("x"), F.col("y"), F.col("z")).alias("i"))
+    assert ids.distinct().count() == len(keys)
+
+
+def test_missing_columns_get_their_declared_type(spark):
+    rows = spark.createDataFrame([(1,)], "id int")
+    assert dict(ingest.apply_defaults(rows, "deal_products", NOW).dtypes)[
+        "discount_percent"] == "decimal(5,2)"
+    types = dict(ingest.apply_defaults(rows, "cohorts", NOW).dtypes)
+    assert (types["total_revenue"], types["total_customers"]) == ("decimal(15,2)", "int")
+
+
+def test_audit_of_an_added_column(small):
+    after = small.customers.withColumn("phone", F.lit("1"))
+    got = changes.audit_log_diff(small.customers, after, "customers", "me", NOW).collect()
+    assert {r["action"] for r in got} == {"UPDATE"} and len(got) == 4
+    assert json.loads(got[0]["old_data"])["phone"] is None
+    assert json.loads(got[0]["new_data"])["phone"] == "1"
+    assert changes.audit_log_diff(after, small.customers, "customers", "me", NOW).count() == 4
+
+
+@pytest.mark.parametrize("by_day", [None, ["day"]])
+def test_append_adds_new_keys_only(spark, by_day):
+    path = shared_folder(spark, "test-append")
+    rows = spark.createDataFrame(
+        [("a", 1), ("b", 1), ("b", 1), (None, 2)], "id string, day int")
+    for _ in range(2):
+        tables.append(rows, path, ["id"], by_day)
+    more = spark.createDataFrame([("b", 1), ("c", 2)], "id string, day int")
+    tables.append(more, path, ["id"], by_day)
+    got = spark.read.schema(rows.schema).parquet(path).collect()
+    assert sorted((r.id or "", r.day) for r in got) == [("", 2), ("a", 1), ("b", 1), ("c", 2)]
+
+
+def test_shared_folder_of_a_plain_local_session(tmp_path):
+    code = (
+        "from dealglass.session import local_session, shared_folder\n"
+        "s = local_session(1, 1, '1g')\n"
+        "a, b = shared_folder(s, 'x'), shared_folder(s, 'x')\n"
+        "s.range(3).write.parquet(a)\n"
+        "assert a != b and s.read.parquet(a).count() == 3\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_null_order(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 4)], "id int, v int")
     assert [r.id for r in ordered(df, "v").collect()] == [3, 1, 2]
@@ -115,8 +185,9 @@ def test_quality(spark, small):
     assert orphans["activities", "deal_id"]["orphan_rows"] == 2
     assert orphans["churn_signals", "deal_id"]["orphan_rows"] == 2      # the null one is excused
     moved = small.replace(deals=small.deals.withColumn("customer_id", F.lit("c1")))
-    assert {r["deal_id"] for r in quality.check_deal_customer(moved, "activities").collect()} == {
-        "d4", "d6"}
+    off = quality.check_deal_customer(moved).collect()
+    assert {r["deal_id"] for r in off if r["child_table"] == "activities"} == {"d4", "d6"}
+    assert {r["child_table"] for r in off} >= {"activities", "revenue_records"}
 
 
 def test_audit_diff(small):

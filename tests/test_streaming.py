@@ -87,9 +87,73 @@ def test_redelivered_records_are_audited_once(spark):
     rows = [(1, 5, day(0)), (1, 5, day(0)), (2, None, day(0))]
     spark.createDataFrame(rows, schema).write.parquet(f"{folder}/signals.parquet")
     session = run.stream_session(spark)
-    stream = flows.audit_inserts(
-        run.read_stream(session, folder, "signals", schema), "churn_signals", "detected_at", "me")
-    got = run.append_to(stream, shared_folder(spark, "test-audit-out"))
+    out = shared_folder(spark, "test-audit-out")
+
+    def audited():
+        feed = run.read_stream(session, folder, "signals", schema)
+        stream = flows.audit_changes(flows.inserted(feed, "churn_signals", "detected_at", "me"))
+        return run.append_new_to(stream, out, "log_id", "changed_day")
+
+    got = audited()
     assert sorted(r.record_id for r in got.collect()) == ["1", "2"]
     two = got.where(F.col("record_id") == "2").first()
     assert '"customer_id":null' in two.new_data
+    # a later batch: one row delivered again, one older than all before, one new
+    more = [(1, 5, day(0)), (3, 6, day(-30)), (4, 6, day(2))]
+    spark.createDataFrame(more, schema).write.mode("append").parquet(f"{folder}/signals.parquet")
+    assert sorted(r.record_id for r in audited().collect()) == ["1", "2", "3", "4"]
+
+
+def test_audit_keeps_all_kinds_of_changes(spark):
+    folder = shared_folder(spark, "test-changes")
+    schema = ("table_name string, record_id string, action string, old_data string, "
+              "new_data string, changed_by string, changed_at timestamp_ntz")
+    rows = [("deals", "1", "INSERT", None, "{}", "me", day(0)),
+            ("deals", "1", "UPDATE", "{}", '{"a":1}', "me", day(1)),
+            ("deals", "1", "UPDATE", '{"a":1}', '{"a":2}', "me", day(1)),
+            ("deals", "1", "DELETE", '{"a":2}', None, "me", day(2))]
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/changes.parquet")
+    session = run.stream_session(spark)
+    feed = run.read_stream(session, folder, "changes", schema, files_per_batch=1)
+    got = run.append_new_to(
+        flows.audit_changes(feed), shared_folder(spark, "test-changes-out"), "log_id",
+        "changed_day")
+    assert sorted((r.action, r.old_data, r.new_data) for r in got.collect() if r.old_data) == [
+        ("DELETE", '{"a":2}', None), ("UPDATE", '{"a":1}', '{"a":2}'), ("UPDATE", "{}", '{"a":1}')]
+    assert got.count() == 4
+
+
+def test_late_rows_are_told(spark, feed):
+    folder, add = feed
+    session = run.stream_session(spark)
+    out, late = shared_folder(spark, "test-late"), []
+    for rows in ([("a", 40)], [("b", 50)], [("a", 3)]):
+        add(*rows)
+        run.append_to(flows.activity_daily(activities(session, folder)), out, late.append)
+    assert late == [0, 0, 1]
+
+
+def test_one_batch_or_many(spark, feed):
+    folder, add = feed
+    session = run.stream_session(spark)
+    for n in (0, 10, 45, 46, 100):
+        add(("a", n), ("b", 2 * n))
+    results = []
+    for files in (1, 1000):
+        stream = flows.inactivity(
+            run.read_stream(session, folder, "activities", ACTIVITY, files), delay="365 days")
+        results.append(sorted(map(str, run.append_to(
+            stream, shared_folder(spark, "test-batches")).collect())))
+    assert results[0] == results[1]
+
+
+def test_inactivity_of_a_deal_with_an_open_signal(spark):
+    signals = spark.createDataFrame([("d1",), ("d2",), ("d3",), ("d9",)], "deal_id string")
+    deals = spark.createDataFrame(
+        [("d1", "c1"), ("d2", "c2"), ("d3", "c3")], "deal_id string, customer_id string")
+    held = spark.createDataFrame(
+        [("d1", "No Activity", False), ("d1", "No Activity", False), ("d2", "No Activity", True),
+         ("d3", "Downgrade Request", False)],
+        "deal_id string, signal_type string, resolved boolean")
+    got = flows.guarded(signals, deals, held).collect()
+    assert sorted((r.deal_id, r.customer_id) for r in got) == [("d2", "c2"), ("d3", "c3")]
