@@ -708,6 +708,25 @@ SQL["dq_range"] = " UNION ALL ".join([
     rule_row("revenue_records", "amount", "amount > 0", "rev", "amt_c <= 0"),
     rule_row("customers", "annual_revenue", "annual_revenue >= 0", "cust", "bal_c < 0"),
 ])
+SQL["dq_length"] = " UNION ALL ".join(
+    rule_row(t, c, f"at most {most} characters", src, f"length({col}) > {most}")
+    for t, src, cols in [
+        ("deal_stages", "stage", {"stage_name": ("stage_name", 100)}),
+        ("customers", "cust", {"company_name": ("company_name", 150),
+                               "industry": ("industry", 100), "country": ("country", 100),
+                               "customer_tier": ("customer_tier", 20), "status": ("status", 20)}),
+        ("deals", "deal", {"deal_name": ("deal_name", 200), "deal_source": ("deal_source", 50),
+                           "assigned_rep": ("rep", 150)}),
+        ("products", "prod", {"product_name": ("product_name", 150),
+                              "product_category": ("category", 100),
+                              "billing_type": ("billing", 20)}),
+        ("activities", "act", {"activity_type": ("kind", 50), "outcome": ("outcome", 50)}),
+        ("revenue_records", "rev", {"revenue_type": ("kind", 50), "billing_period": ("period", 20),
+                                    "payment_status": ("paid", 20)}),
+        ("forecasts", "fc", {"assigned_rep": ("rep", 150)}),
+        ("churn_signals", "sig", {"signal_type": ("kind", 100), "severity": ("severity", 20)}),
+    ]
+    for c, (col, most) in cols.items())
 SQL["dq_not_null"] = " UNION ALL ".join(
     rule_row(t, c, "not null", src, f"{col} IS NULL")
     for t, src, cols in [

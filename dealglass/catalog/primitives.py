@@ -13,7 +13,6 @@ from dealglass.model import Model
 from dealglass.operators import pipeline, revenue, upsell
 from dealglass.plans import rollups
 from dealglass.plans.ordering import ordered
-from dealglass.plans.skew import salted_join
 from dealglass.sources import ingest
 
 
@@ -76,9 +75,8 @@ def join_inner(m: Model, as_of: dt.date) -> DataFrame:
     """Won deals with customer and stage names."""
     won = rollups.staged_deals(m).where("is_won")
     names = m.customers.select("customer_id", "company_name")
-    return salted_join(
-        won, names, "customer_id", spread=F.col("deal_id"), count_on=m.deals
-    ).select("deal_id", "company_name", "stage_name", "deal_value")
+    return won.join(names, "customer_id").select(
+        "deal_id", "company_name", "stage_name", "deal_value")
 
 
 def join_left(m: Model, as_of: dt.date) -> DataFrame:

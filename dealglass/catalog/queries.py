@@ -87,6 +87,7 @@ ANALYTICS: dict[str, ModelQuery] = {
     "dq_domain": lambda m, d: quality.check_domains(m),
     "dq_range": lambda m, d: quality.check_ranges(
         m, {("customers", "annual_revenue"): "annual_revenue >= 0"}),
+    "dq_length": lambda m, d: quality.check_lengths(m),
     "dq_not_null": lambda m, d: quality.check_not_null(m),
     "dq_unique": lambda m, d: quality.check_unique(m, more={
         "customers": [["company_name"]],

@@ -99,6 +99,25 @@ UNIQUE_KEYS: dict[str, list[list[str]]] = {
     "cohorts": [["cohort_id"], ["cohort_name"]],
 }
 
+# Most characters of a text column.
+LENGTHS: dict[str, dict[str, int]] = {
+    "deal_stages": {"stage_name": 100},
+    "customers": {"company_name": 150, "industry": 100, "country": 100, "city": 100,
+                  "customer_tier": 20, "status": 20},
+    "contacts": {"first_name": 100, "last_name": 100, "email": 150, "phone": 20,
+                 "job_title": 100},
+    "deals": {"deal_name": 200, "currency": 10, "deal_source": 50, "assigned_rep": 150},
+    "products": {"product_name": 150, "product_category": 100, "billing_type": 20},
+    "activities": {"activity_type": 50, "outcome": 50},
+    "revenue_records": {"revenue_type": 50, "currency": 10, "billing_period": 20,
+                        "payment_status": 20},
+    "forecasts": {"forecast_period": 20, "assigned_rep": 150},
+    "churn_signals": {"signal_type": 100, "severity": 20},
+    "cohorts": {"cohort_name": 150, "cohort_type": 50},
+    "audit_logs": {"table_name": 100, "action": 20, "changed_by": 150, "ip_address": 50,
+                   "session_id": 150},
+}
+
 # Child table, child column, parent table, parent column.
 FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("contacts", "customer_id", "customers", "customer_id"),

@@ -38,7 +38,7 @@ def customer_health(m: Model, as_of: dt.date, fan_out: bool = False) -> DataFram
     """Per customer: deals, activities, churn signals, health score and status."""
     base = (
         m.customers.select("customer_id", "company_name", "customer_tier", "industry", "status")
-        .join(rollups.customer_book(m), "customer_id", "left")
+        .transform(rollups.join_book, m)
         .join(rollups.customer_signals(m), "customer_id", "left")
     )
     deal_rows, touch_rows = _rows(F.col("deals")), _rows(F.col("total_activities"))
@@ -137,7 +137,7 @@ def customer_lifetime_value(
     signals = rollups.customer_signals(m).select("customer_id", "open_signals")
     base = (
         m.customers.select("customer_id", "company_name", "customer_tier", "industry")
-        .join(rollups.customer_book(m), "customer_id", "left")
+        .transform(rollups.join_book, m)
         .join(revenue, "customer_id", "left")
         .join(signals, "customer_id", "left")
     )
@@ -248,8 +248,8 @@ def customer_segmentation(
 
     Thresholds are arguments, so no global ranking of customers is needed.
     """
-    base = m.customers.select("customer_id", "company_name", "customer_tier", "status").join(
-        rollups.customer_book(m), "customer_id", "left")
+    base = rollups.join_book(
+        m.customers.select("customer_id", "company_name", "customer_tier", "status"), m)
     won = _cash(F.col("won_value"))
     idle = days_until(as_of, F.col("last_activity_at"))
     recent = F.coalesce(idle <= recent_days, F.lit(False))

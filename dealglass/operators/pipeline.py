@@ -12,7 +12,6 @@ from dealglass.functions.columns import (
     count_where, day, days_until, dec, half_up, mean, percent, zero)
 from dealglass.model import Model
 from dealglass.plans import rollups
-from dealglass.plans.skew import salted_join
 
 SOURCES = ["inbound", "outbound", "referral", "partner", "renewal"]
 
@@ -70,13 +69,11 @@ def pipeline_health(m: Model, as_of: dt.date) -> DataFrame:
 def _touched_deals(m: Model, deals: DataFrame, *customer_columns: str) -> DataFrame:
     """Staged deals with customer attributes and their activity rollup.
 
-    The customer lookup spreads a customer that dominates the deals; the
-    activity rollup has one row per deal.
+    Spark splits the part of a customer that dominates the deals; the activity
+    rollup has one row per deal.
     """
     names = m.customers.select("customer_id", *customer_columns)
-    named = salted_join(
-        deals, names, "customer_id", spread=F.col("deal_id"), count_on=m.deals)
-    return named.join(rollups.deal_activity(m.activities), "deal_id", "left")
+    return deals.join(names, "customer_id").join(rollups.deal_activity(m.activities), "deal_id", "left")
 
 
 def deal_risk_scores(m: Model, as_of: dt.date) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dealglass.functions.columns import count_where, zero
 from dealglass.model import (
-    DOMAINS, FOREIGN_KEYS, RANGES, UNIQUE_KEYS, Model, required_columns)
+    DOMAINS, FOREIGN_KEYS, LENGTHS, RANGES, UNIQUE_KEYS, Model, required_columns)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -70,6 +70,14 @@ def check_ranges(m: Model, extra: dict[tuple[str, str], str] | None = None) -> D
     ])
 
 
+def check_lengths(m: Model) -> DataFrame:
+    """Texts longer than their column allows; a null passes."""
+    return _run(m, [
+        (table, column, f"at most {most} characters", F.char_length(column) > most)
+        for table, columns in LENGTHS.items() for column, most in columns.items()
+    ])
+
+
 def check_not_null(m: Model) -> DataFrame:
     """Nulls in required columns."""
     return _run(m, [
@@ -113,37 +121,43 @@ def check_unique(
 def check_orphans(m: Model) -> DataFrame:
     """Per reference: child rows whose non-null key has no parent row.
 
-    Child keys are counted first, and all children of a parent meet it in one
-    join, so a parent table is read and shuffled once.
+    Each table is read once: a child counts the values of all its keys in one
+    grouping, and one join brings all of them to the keys of all parents.
     """
     tables = m.tables()
-    by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    references: dict[str, list[tuple[str, str, str]]] = {}
     for child, column, parent, parent_key in FOREIGN_KEYS:
         if child in tables and parent in tables and column in tables[child].columns:
-            by_parent.setdefault((parent, parent_key), []).append((child, column))
-    parts = []
-    for (parent, parent_key), children in by_parent.items():
-        known = tables[parent].select(F.col(parent_key).alias("key"), F.lit(True).alias("known"))
-        keys = _union([_key_counts(tables[child], child, column) for child, column in children])
-        orphan = F.col("known").isNull() & F.col("key").isNotNull()
-        parts.append(
-            keys.join(known, "key", "left")
-            .groupBy("child_table", "child_column")
-            .agg(
-                F.lit(parent).alias("parent_table"),
-                count_where(orphan).alias("orphan_keys"),
-                zero(F.sum(F.when(orphan, F.col("n")))).alias("orphan_rows"),
-            )
+            references.setdefault(child, []).append((column, parent, parent_key))
+    parents = sorted({(p, k) for found in references.values() for _, p, k in found})
+    known = _union([
+        tables[parent].select(
+            F.lit(parent).alias("parent_table"), F.col(key).cast("string").alias("key"),
+            F.lit(True).alias("known"))
+        for parent, key in parents])
+    keys = _union([_key_counts(tables[child], child, found) for child, found in references.items()])
+    orphan = F.col("known").isNull() & F.col("key").isNotNull()
+    return (
+        keys.join(known, ["parent_table", "key"], "left")
+        .groupBy("child_table", "child_column", "parent_table")
+        .agg(
+            count_where(orphan).alias("orphan_keys"),
+            zero(F.sum(F.when(orphan, F.col("n")))).alias("orphan_rows"),
         )
-    return _union(parts)
+    )
 
 
-def _key_counts(child: DataFrame, table: str, column: str) -> DataFrame:
-    """Distinct values of a child key with their row counts, null included."""
+def _key_counts(child: DataFrame, table: str, references: list[tuple[str, str, str]]) -> DataFrame:
+    """Distinct values of a child's keys with their row counts, null included."""
+    each = F.array(*[
+        F.struct(F.lit(column).alias("child_column"), F.lit(parent).alias("parent_table"),
+                 F.col(column).cast("string").alias("key"))
+        for column, parent, _ in references])
     return (
-        child.groupBy(F.col(column).alias("key"))
+        child.select(F.inline(each))
+        .groupBy("child_column", "parent_table", "key")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(table).alias("child_table"), F.lit(column).alias("child_column"), "key", "n")
+        .select(F.lit(table).alias("child_table"), "*")
     )
 
 

@@ -162,29 +162,31 @@ def open_pipeline_by_day(m: Model) -> DataFrame:
     )
 
 
+# Forecast figures of a month, for the DataFrame operator and the SQL function alike.
+FORECAST = {
+    "forecast_month": "forecast_month",
+    "active_deals": "active_deals",
+    "total_pipeline": "total_pipeline",
+    "weighted_forecast": "round(weighted * 0.01, 2)",
+    "best_case": "round(total_pipeline * 0.90, 2)",
+    "worst_case": "round(total_pipeline * 0.40, 2)",
+    "historical_win_rate": "historical_win_rate",
+    "predicted_revenue":
+        "round(total_pipeline * cast(historical_win_rate as decimal(7,2)) * 0.01, 2)",
+}
+
+
 def revenue_forecast(m: Model, as_of: dt.date, months: int = 3) -> DataFrame:
     """Per month of expected close within ``months``: weighted, best, worst, predicted."""
     close = F.col("expected_close_date")
     in_window = close.between(on(as_of), F.add_months(on(as_of), months))
-    pipeline = F.col("total_pipeline")
-    rate = F.col("historical_win_rate")
     return (
         open_pipeline_by_day(m)
         .where(in_window)
         .groupBy(month(close).alias("forecast_month"))
         .agg(*[F.sum(c).alias(c) for c in ("active_deals", "total_pipeline", "weighted")])
         .withColumn("historical_win_rate", overall_win_rate(m).scalar())
-        .select(
-            "forecast_month",
-            "active_deals",
-            "total_pipeline",
-            half_up(F.col("weighted") * dec("0.01")).alias("weighted_forecast"),
-            half_up(pipeline * dec("0.90")).alias("best_case"),
-            half_up(pipeline * dec("0.40")).alias("worst_case"),
-            "historical_win_rate",
-            half_up(pipeline * rate.cast("decimal(7,2)") * dec("0.01")).alias(
-                "predicted_revenue"),
-        )
+        .selectExpr(*[f"{formula} AS {name}" for name, formula in FORECAST.items()])
         .orderBy("forecast_month")
     )
 

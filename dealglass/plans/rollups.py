@@ -95,15 +95,18 @@ def customer_deals(m: Model) -> DataFrame:
     return staged_deals(m, "left").groupBy("customer_id").agg(*deal_measures())
 
 
-def customer_book(m: Model) -> DataFrame:
-    """Per customer: deal and activity measures together.
+def join_book(rows: DataFrame, m: Model) -> DataFrame:
+    """Rows with a customer, and that customer's deal and activity measures.
 
     Where activities name only their deal, each deal meets its one activity row
     and a single grouping by customer gives both, with one scan of the deals.
+    Else the two rollups are joined one after the other, so that a filter on the
+    customer reaches the scans of both.
     """
     if "customer_id" in m.activities.columns:
-        return customer_deals(m).join(customer_activity(m), "customer_id", "full_outer")
-    return (
+        return rows.join(customer_deals(m), "customer_id", "left").join(
+            customer_activity(m), "customer_id", "left")
+    book = (
         staged_deals(m, "left")
         .join(deal_activity(m.activities), "deal_id", "left")
         .groupBy("customer_id")
@@ -113,6 +116,7 @@ def customer_book(m: Model) -> DataFrame:
             F.max("last_activity_at").alias("last_activity_at"),
         )
     )
+    return rows.join(book, "customer_id", "left")
 
 
 def customer_revenue(m: Model) -> DataFrame:

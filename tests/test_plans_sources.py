@@ -14,7 +14,7 @@ from dealglass.operators import changes, pipeline, quality, revenue
 from dealglass.plans.ordering import ordered
 from dealglass.plans.skew import BUCKETS, hot_buckets, salted_join
 from dealglass.session import shared_folder
-from dealglass.sources import ingest, tables
+from dealglass.sources import ingest, orders, tables
 from fixtures import AS_OF, at, by
 
 NOW = dt.datetime(2024, 3, 31, 12)
@@ -280,4 +280,38 @@ def test_sql_names(spark, small):
     assert value["clv_estimate"] == D("800.80")
     assert spark.sql("SELECT * FROM get_deal_health_score('d1')").first()["health_score"] == 66
     assert spark.sql("SELECT * FROM mv_pipeline_health").count() == 4
+    for name in ("pipeline_summary", "customer_health", "mv_monthly_revenue_summary",
+                 "pipeline_scoring", "funnel_velocity", "rep_forecast", "mrr_trend",
+                 "cohort_analysis", "churn_risk_ranking", "win_loss", "rep_leaderboard",
+                 "upsell_opportunities"):
+        assert spark.table(name).columns
+    ordered_health = spark.sql("SELECT * FROM customer_health ORDER BY health_score ASC")
+    assert ordered_health.count() == 4
+    assert spark.sql("SELECT * FROM get_revenue_forecast(3)").count() == len(default)
     assert at(0).date() == AS_OF
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_sql_functions_filter_the_facts(spark, capsys):
+    views.register(orders.model(spark, "/root/testdata/sf0.001"), orders.AS_OF)
+
+    def scans(call):
+        spark.sql(f"SELECT * FROM {call}").explain()
+        lines = capsys.readouterr().out.split("\n")
+        return {kind: [x for x in lines if "FileScan" in x and f"{kind}.parquet" in x]
+                for kind in ("orders", "customer", "lineitem", "events")}
+
+    found = scans("get_customer_lifetime_value(17)")
+    assert all("o_custkey" in x and "= 17" in x for x in found["orders"]) and found["orders"]
+    assert all("= 17" in x for x in found["customer"])
+    assert all("= 17" in x for x in found["events"])
+    found = scans("get_deal_health_score(17)")
+    assert all("= 17" in x for x in found["orders"]) and found["orders"]
+    assert all("= 17" in x for x in found["lineitem"])
+
+
+def test_lengths(small):
+    long = small.replace(customers=small.customers.withColumn("industry", F.repeat(F.lit("é"), 101)))
+    got = by(quality.check_lengths(long), "table_name", "column_name")
+    assert got["customers", "industry"]["violations"] == 4
+    assert sum(r["violations"] for r in got.values()) == 4
