@@ -11,8 +11,7 @@ from __future__ import annotations
 
 import re
 
-from dealglass.functions import labels
-from dealglass.model import DOMAINS, STAGES
+from dealglass.catalog.expected import DOMAINS, STAGES, labels
 
 AS_OF = "DATE '2001-06-01'"
 

@@ -68,12 +68,15 @@ def deal_stages(spark: SparkSession) -> DataFrame:
 def customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Customers with country and region.
 
-    Nation and region are looked up one after the other, so that each is a bare
-    file whose size Spark knows and broadcasts by.
+    Nation and region are looked up one after the other and are small enough that
+    Spark broadcasts them by their size.  One row per key is asked of both, so that
+    Spark knows it can leave them out where no place is wanted.
     """
+    nations = nation.withColumnRenamed("n_nationkey", "c_nationkey")
+    regions = region.withColumnRenamed("r_regionkey", "n_regionkey")
     located = customer.join(
-        nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left"
-    ).join(region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "left")
+        nations.dropDuplicates(["c_nationkey"]), "c_nationkey", "left"
+    ).join(regions.dropDuplicates(["n_regionkey"]), "n_regionkey", "left")
     return located.selectExpr(
         "c_custkey as customer_id",
         "c_name as company_name",

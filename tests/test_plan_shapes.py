@@ -47,3 +47,26 @@ def test_filters_and_columns_reach_the_scan(spark, capsys):
 def test_stages_are_broadcast_not_shuffled(spark, capsys):
     text = plan(all_queries()["agg_weighted"](spark, FOLDER), capsys)
     assert "BroadcastHashJoin" in text and "hashpartitioning(stage_id" not in text
+
+
+@pytest.mark.parametrize("name", [*ANALYTICS, *PRIMITIVES])
+def test_shape_without_broadcasts(spark, capsys, name):
+    """Tables beyond any broadcast still meet by keys, and no fact is read for a place."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(all_queries()[name](spark, "/root/testdata/sf0.1"), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BroadcastExchange", text)
+
+
+def test_place_joins_go_where_no_place_is_wanted(spark, capsys):
+    for name in ("join_inner", "win_loss", "deal_risk_scores", "pipeline_scoring"):
+        assert "nation.parquet" not in plan(all_queries()[name](spark, FOLDER), capsys)
+
+
+def test_large_facts_are_read_once(spark, capsys):
+    for name in ("upsell_opportunities", "owned_products"):
+        text = plan(all_queries()[name](spark, FOLDER), capsys)
+        assert text.count("lineitem.parquet") == 1
+    assert plan(all_queries()["dq_orphans"](spark, FOLDER), capsys).count("lineitem.parquet") == 2
