@@ -16,7 +16,7 @@ from dealglass.llm.common import read, store
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps the documents of a known language that fills half of them or more."""
+    """Keeps the documents in a known language that fills a third of them or more."""
     return language.keep(docs)
 
 

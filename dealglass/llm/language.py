@@ -9,10 +9,13 @@ likelihood: starting from all, the language with the smallest share is dropped
 while that costs less likelihood than the penalty for one more language.
 
 ``lang_pred`` is the language with the largest share in the chosen set, ``score``
-its share in the mixture of all languages, ``languages`` the set by share.
+its share in the mixture of all languages, ``share`` that in the mixture of the
+chosen set, ``languages`` the set by share.  A text is accepted if its language is
+known and fills a third of it: a short text with little evidence is one language, and
+only a proven mixture without a main language is refused.
 
 A text that is null or has no letter, or any text when nothing could be learned,
-is ``und`` with score 0 and an empty set. Rows without an id are never learned
+is ``und`` with score and share 0 and an empty set. Rows without an id are never learned
 from; a null label is no label. Ties go to the language first by name. Repeated
 rows are predicted alike; columns other than the text are left alone.
 """
@@ -33,8 +36,9 @@ MAX_LANGUAGES = 256  # the model then has 128 MB
 SMOOTHING = 0.05  # added to every count, times the language's mean count
 PENALTY = 4.0  # times log(trigrams) per further language; trigrams overlap
 ROUNDS = 30
+MIN_SHARE = 1 / 3  # of the main language in an accepted text
 UNKNOWN = "und"
-MIXTURE = "lang_pred string, score double, languages array<string>"
+MIXTURE = "lang_pred string, score double, share double, languages array<string>"
 
 _letters: list[np.ndarray] = []
 
@@ -119,9 +123,9 @@ def shares(likelihood: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def mixture(codes: np.ndarray, langs: list[str], model: np.ndarray):
-    """(language, score, languages by share) of one document's trigrams."""
+    """(language, score, share, languages by share) of one document's trigrams."""
     if not len(codes) or not langs:
-        return UNKNOWN, 0.0, []
+        return UNKNOWN, 0.0, 0.0, []
     bins, n = np.unique(codes, return_counts=True)
     likelihood, n = model[bins], n.astype(float)
     every, best_all = shares(likelihood, n)
@@ -141,7 +145,8 @@ def mixture(codes: np.ndarray, langs: list[str], model: np.ndarray):
         chosen, share = held, part
     order = np.lexsort((chosen, -share))
     names = [langs[chosen[i]] for i in order]
-    return names[0], float(min(1.0, every[chosen[order[0]]])), names
+    first = order[0]
+    return names[0], float(min(1.0, every[chosen[first]])), float(min(1.0, share[first])), names
 
 
 def detector(docs: DataFrame, langs: list[str], model: np.ndarray):
@@ -153,7 +158,7 @@ def detector(docs: DataFrame, langs: list[str], model: np.ndarray):
         names, table = shared.value
         for batch in batches:
             rows = [mixture(trigrams(text), names, table) for text in batch]
-            yield pd.DataFrame(rows, columns=["lang_pred", "score", "languages"])
+            yield pd.DataFrame(rows, columns=["lang_pred", "score", "share", "languages"])
 
     return detect.asNondeterministic()  # so that a filter does not run it again
 
@@ -166,12 +171,12 @@ def predict(
     return docs.select("*", detect(F.col(f"`{text}`")).alias("language"))
 
 
-def accepted(language: Column, min_share: float = 0.5) -> Column:
-    """Known, and mostly in one language."""
-    return (language["lang_pred"] != UNKNOWN) & (language["score"] >= min_share)
+def accepted(language: Column, min_share: float = MIN_SHARE) -> Column:
+    """In a known language that fills ``min_share`` of the text."""
+    return (language["lang_pred"] != UNKNOWN) & (language["share"] >= min_share)
 
 
-def keep(docs: DataFrame, min_share: float = 0.5, doc_id: str = "doc_id", text: str = "text",
+def keep(docs: DataFrame, min_share: float = MIN_SHARE, doc_id: str = "doc_id", text: str = "text",
          lang: str = "lang") -> DataFrame:
     """The documents in a known language, with their own columns only."""
     packed = docs.select(

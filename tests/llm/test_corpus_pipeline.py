@@ -23,8 +23,8 @@ def languages_kept(rows):
     model /= model.sum(0)
     out = set()
     for r in rows:
-        name, score, _ = language.mixture(language.trigrams(r.text), langs, model)
-        if name != "und" and score >= 0.5:
+        name, _, share, _ = language.mixture(language.trigrams(r.text), langs, model)
+        if name != "und" and share >= 1 / 3:
             out.add(r.doc_id)
     return out
 

@@ -411,9 +411,10 @@ def test_language_sets():
     def found(text):
         return language.mixture(language.trigrams(text), langs, model)
 
-    assert found("the cat and the house")[::2] == ("en", ["en"])
-    name, score, names = found(texts["fr"] + texts["en"][:400])
-    assert (name, names) == ("fr", ["fr", "en"]) and 0.5 < score < 1
+    short = found("the cat and the house")
+    assert (short[0], *short[2:]) == ("en", 1.0, ["en"])
+    name, score, share, names = found(texts["fr"] + texts["en"][:400])
+    assert (name, names) == ("fr", ["fr", "en"]) and 0.5 < score < 1 and 0.5 < share < 1
     # the chosen set has the best penalised likelihood of all sets
     codes = language.trigrams(texts["de"][:300] + texts["fr"][:250])
     bins, n = np.unique(codes, return_counts=True)
@@ -421,10 +422,10 @@ def test_language_sets():
     value = {s: language.shares(model[bins][:, list(s)], n.astype(float))[1] - price * len(s)
              for k in (1, 2, 3) for s in combinations(range(3), k)}
     assert {langs[i] for i in max(value, key=value.get)} == set(
-        language.mixture(codes, langs, model)[2]) == {"de", "fr"}
+        language.mixture(codes, langs, model)[3]) == {"de", "fr"}
     for text in (None, "", " 12 !?", "42"):
-        assert found(text) == ("und", 0.0, [])
-    assert language.mixture(codes, [], model[:, :0]) == ("und", 0.0, [])
+        assert found(text) == ("und", 0.0, 0.0, [])
+    assert language.mixture(codes, [], model[:, :0]) == ("und", 0.0, 0.0, [])
 
 
 def test_language_odd_rows(spark, docs, no_docs):
