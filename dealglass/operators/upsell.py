@@ -71,3 +71,10 @@ def owned_categories(m: Model) -> DataFrame:
                 "owned_categories")
         )
     )
+
+
+def owned_product_names(m: Model, customer_id) -> DataFrame:
+    """One row for one customer: the sorted, comma-separated names of owned products."""
+    mine = m.replace(deals=m.deals.where(F.col("customer_id") == F.lit(customer_id)))
+    return owned_products(mine).agg(
+        F.array_join(F.array_sort(F.collect_set("product_name")), ", ").alias("products_owned"))

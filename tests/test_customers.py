@@ -170,3 +170,11 @@ def test_deals_of_an_unknown_stage_count(small):
     whole = cohorts.cohort_analysis(small).collect()
     size = {r["cohort_month"]: r["cohort_size"] for r in whole}
     assert {r["cohort_month"]: r["cohort_size"] for r in grown} == size
+
+
+def test_names_of_owned_products(small):
+    owned = upsell.owned_products(small).collect()
+    for customer in ("c1", "c4", "c3"):
+        names = sorted({r["product_name"] for r in owned if r["customer_id"] == customer})
+        got = upsell.owned_product_names(small, customer).collect()
+        assert [r["products_owned"] for r in got] == [", ".join(names)]
