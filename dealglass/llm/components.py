@@ -23,15 +23,17 @@ MAX_ROUNDS = 100  # far more than any path of a real graph needs
 
 def _star(pairs: DataFrame) -> DataFrame:
     """(u, v, low): each pair with the smallest node that u is paired with."""
-    lows = pairs.groupBy("u").agg(F.min("v").alias("low"))
+    # Stored, the grouped side is shuffled by the join itself, which Spark can then split
+    # where one node has very many pairs.
+    lows = store(pairs.groupBy("u").agg(F.min("v").alias("low")), "lows")
     return pairs.join(lows, "u")
 
 
 def _round(edges: DataFrame) -> DataFrame:
     """One large star and one small star; edges (u, v) have u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    large = _star(both).filter("v > u").select(
-        F.col("v").alias("u"), F.least("low", "u").alias("v")).distinct()
+    large = store(_star(both).filter("v > u").select(
+        F.col("v").alias("u"), F.least("low", "u").alias("v")).distinct(), "edges")
     small = _star(large)
     return small.select("u", F.col("low").alias("v")).unionByName(
         small.filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))).distinct()

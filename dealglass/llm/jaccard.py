@@ -285,7 +285,8 @@ def verified(
 ) -> DataFrame:
     """Rows (a, b) of a spanning forest of the links in each candidate component,
     and rows (a, null, texts, docs) with parts of each set's numbers of links."""
-    sizes = members.groupBy("root").agg(F.count("*").alias("size"))
+    # Grouped sides of joins are stored, so that Spark can split a very large group.
+    sizes = store(members.groupBy("root").agg(F.count("*").alias("size")), "sizes")
     known = members.join(sizes, "root").select(
         F.col("node").alias("set"), F.col("root").alias("component"), "size")
     known = known.join(sets.select("set", "id", "fp", "copies"), "set")
@@ -346,8 +347,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
          threshold: Fraction = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per document: class_id, class_key, class_size and numbers of links."""
     each = store(classes(docs, doc_id, text, threshold, recall), "classes")
-    whole = each.groupBy("class_key").agg(
-        F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    whole = store(each.groupBy("class_key").agg(
+        F.min("id").alias("class_id"), F.count("*").alias("class_size")), "class-sizes")
     return each.join(whole, "class_key").select(
         F.col("id").alias("doc_id"), "class_id", "class_key", "class_size", "n_text_links",
         "n_links")
