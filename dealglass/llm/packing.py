@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from dealglass.llm.common import SPACE_WORD, matches, store
 
 CAPACITY = 2048  # words
-PACK_ROWS = 8192
+PACK_ROWS = 2048
 
 
 def place(lengths: list[int], sources: list[int], clusters: list[int], capacity: int) -> list[int]:
