@@ -137,8 +137,10 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         c["n_repeat_words"] * 100 > c["n_words"] * MAX_REPEAT_PERCENT)
     enough = (c["n_lost_words"] * 100 <= c["n_words"] * MAX_LOST_PERCENT) & (
         c["n_words"] - c["n_lost_words"] >= MIN_WORDS)
-    verdict = F.struct(
-        "__counts.*", failed.alias("base_failed"), (~failed & enough).alias("kept"))
+    # Not deterministic on purpose: else Spark moves a filter on the result below the
+    # steps above and computes all of them once for every mention of one.
+    kept = ~failed & enough & (F.spark_partition_id() >= 0)
+    verdict = F.struct("__counts.*", failed.alias("base_failed"), kept.alias("kept"))
     return step.withColumn("rules", verdict).drop(
         "__words", "__lines", "__hashes", "__pairs", "__counts")
 
@@ -152,10 +154,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that pass, with their own columns only."""
     packed = docs.select(F.struct("*").alias("__row"), F.col(f"`{text}`").alias("__text"))
-    # A column that is not deterministic: without it Spark moves the filter below
-    # the steps of the measurement and computes all of them for every mention.
-    judged = measure(packed, "__text").withColumn("__part", F.spark_partition_id())
-    return judged.filter("rules.kept and __part >= 0").select("__row.*")
+    return measure(packed, "__text").filter("rules.kept").select("__row.*")
 
 
 def clean(text: Column) -> Column:
