@@ -70,7 +70,9 @@ def rebalance(current: DataFrame, sizes: DataFrame, shards: int = SHARDS) -> Dat
     """The next version for new sizes or more shards (0 to ``shards`` - 1).
 
     A shard keeps its slots, largest first, up to an equal share of all bytes;
-    the rest, and slots of shards that no longer exist, are dealt anew.
+    the rest, and slots of shards that no longer exist, are dealt anew to the
+    lightest shards: a new shard takes nearly all of it, the last small slots
+    level the loads.
     """
     share = F.sum("bytes").over(W.partitionBy()) / shards
     held = current.join(sizes, "slot")

@@ -215,7 +215,7 @@ def test_map_versions(spark):
 
     even = loads(first, sizes)
     assert len(even) == 16 and max(even.values()) - min(even.values()) <= 100
-    # one slot's growth moves few slots; one more shard takes slots only into itself
+    # one slot's growth moves few slots; one more shard takes nearly all that moves
     grown = sizes.withColumn("bytes", F.when(F.col("slot") == 5, 3000).otherwise(F.col("bytes")))
     second = sharding.rebalance(first, grown, 16)
     after = loads(second, grown)
@@ -225,6 +225,8 @@ def test_map_versions(spark):
     assert {r.version for r in second.select("version").distinct().collect()} == {2}
     wider = sharding.rebalance(first, sizes, 17)
     into = first.join(wider.withColumnRenamed("shard", "to"), "slot").where("shard <> to")
-    assert into.where("to < 16").count() <= sharding.SLOTS / 50
+    by_kind = {r.new: r.b for r in into.join(sizes, "slot").groupBy(
+        (F.col("to") == 16).alias("new")).agg(F.sum("bytes").alias("b")).collect()}
+    assert by_kind.get(False, 0) <= 0.05 * by_kind[True]  # small slots that level the loads
     total = loads(wider, sizes)
     assert max(total.values()) - min(total.values()) <= 200 and len(total) == 17
