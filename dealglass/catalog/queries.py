@@ -139,8 +139,11 @@ def mv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.materialize(summary, shared_folder(spark, "monthly-summary"))
 
 
+FILES_PER_BATCH = 1000
+
+
 def _feed(session: SparkSession, folder: str, table: str) -> DataFrame:
-    return run.read_stream(session, folder, table, orders.FILE_SCHEMAS[table])
+    return run.read_stream(session, folder, table, orders.FILE_SCHEMAS[table], FILES_PER_BATCH)
 
 
 def _changes(m: Model) -> DataFrame:
@@ -200,15 +203,20 @@ def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
 def stream_inactivity(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
     touches = orders.activities(_feed(session, folder, "lineitem"))
+    per_day = run.sum_to(
+        flows.touches(touches), shared_folder(spark, "stream-inactivity"),
+        ["deal_id", "activity_day"])
     m = orders.model(session, folder)
-    signals = flows.guarded(flows.inactivity(touches), m.deals, m.churn_signals)
-    return run.append_to(signals, shared_folder(spark, "stream-inactivity"))
+    return flows.guarded(flows.gaps(per_day), m.deals, m.churn_signals)
 
 
 def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
     touches = orders.activities(_feed(session, folder, "lineitem"))
-    return run.append_to(flows.activity_daily(touches), shared_folder(spark, "stream-daily"))
+    per_day = run.sum_to(
+        flows.typed(touches), shared_folder(spark, "stream-daily"),
+        ["activity_day", "activity_type"])
+    return flows.closed_days(per_day)
 
 
 OTHERS: dict[str, Query] = {

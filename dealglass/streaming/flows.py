@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealglass.functions.columns import month, stable_id, sum_where
@@ -87,29 +87,76 @@ def inactivity(activities: DataFrame, idle_days: int = 30, delay: str = "1 day")
     emitted once the watermark passes it, even when the deal was touched again
     in the meantime.  An activity that comes later than ``delay`` is not counted,
     so it can leave a gap that was none; ``run.append_to`` tells how many did.
+    For files in any order of dates use ``touches`` and ``gaps``.
     """
     on_day = F.date_trunc("day", F.col("activity_date").cast("timestamp"))
-    session = F.session_window("activity_day", f"{idle_days} days 12 hours")
-    last_day = F.date_sub(F.col("quiet.end").cast("date"), idle_days)
-    return (
+    return _signals(
         activities.select("deal_id", on_day.alias("activity_day"))
         .withWatermark("activity_day", delay)
-        .groupBy("deal_id", session.alias("quiet"))
-        .agg(F.count(F.lit(1)).alias("activities"))
-        .select(
-            "deal_id",
-            F.lit("No Activity").alias("signal_type"),
-            F.lit("Medium").alias("severity"),
-            last_day.alias("last_activity_date"),
-            F.date_add(last_day, idle_days + 1).alias("detected_on"),
-            F.lit(False).alias("resolved"),
-            "activities",
-        )
+        .groupBy("deal_id", _session(idle_days))
+        .agg(F.count(F.lit(1)).alias("activities")),
+        idle_days)
+
+
+def _session(idle_days: int) -> Column:
+    return F.session_window("activity_day", f"{idle_days} days 12 hours").alias("quiet")
+
+
+def _signals(sessions: DataFrame, idle_days: int) -> DataFrame:
+    last_day = F.date_sub(F.col("quiet.end").cast("date"), idle_days)
+    return sessions.select(
+        "deal_id",
+        F.lit("No Activity").alias("signal_type"),
+        F.lit("Medium").alias("severity"),
+        last_day.alias("last_activity_date"),
+        F.date_add(last_day, idle_days + 1).alias("detected_on"),
+        F.lit(False).alias("resolved"),
+        "activities",
     )
 
 
+def touches(activities: DataFrame) -> DataFrame:
+    """Deal and day of each activity; sum it with ``run.sum_to`` by those two."""
+    return activities.select(
+        "deal_id", F.to_date("activity_date").alias("activity_day"),
+        F.lit(1).cast("long").alias("activities")).where("activity_day is not null")
+
+
+def gaps(per_day: DataFrame, idle_days: int = 30, delay_days: int = 1) -> DataFrame:
+    """The signals of ``inactivity`` from the sums of ``touches``, whatever their order.
+
+    A gap is reported once the newest day of all is ``delay_days`` past it; one that
+    a later activity fills is gone from the next result.
+    """
+    sessions = per_day.withColumn("activity_day", F.col("activity_day").cast("timestamp")).groupBy(
+        "deal_id", _session(idle_days)).agg(F.sum("activities").alias("activities"))
+    return _signals(sessions, idle_days).where(F.col("detected_on") <= _mark(per_day, delay_days))
+
+
+def _mark(per_day: DataFrame, delay_days: int) -> Column:
+    return per_day.agg(F.date_sub(F.max("activity_day"), delay_days)).scalar()
+
+
+def typed(activities: DataFrame) -> DataFrame:
+    """Day and type of each activity; sum it with ``run.sum_to`` by those two."""
+    return activities.select(
+        F.to_date("activity_date").alias("activity_day"), "activity_type",
+        F.lit(1).cast("long").alias("activities"),
+        F.coalesce((F.col("outcome") == "Positive").cast("long"), F.lit(0)).alias("positives"),
+    ).where("activity_day is not null")
+
+
+def closed_days(per_day: DataFrame, delay_days: int = 1) -> DataFrame:
+    """The sums of ``typed`` for the days that ended ``delay_days`` before the newest."""
+    return per_day.where(F.date_add("activity_day", 1) <= _mark(per_day, delay_days))
+
+
 def activity_daily(activities: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Activity counts per day and type; days are final once the watermark passes them."""
+    """Activity counts per day and type; days are final once the watermark passes them.
+
+    Rows later than ``delay`` are not counted; for files in any order of dates use
+    ``typed`` and ``closed_days``.
+    """
     return (
         activities.select(
             F.col("activity_date").cast("timestamp").alias("at"), "activity_type", "outcome")

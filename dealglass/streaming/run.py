@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -46,9 +47,18 @@ def read_stream(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed them, in the last batches."""
-    return sum(
-        state.numRowsDroppedByWatermark for p in query.recentProgress for state in p.stateOperators)
+    """Waits for a stream; returns the rows that came after the watermark had passed them.
+
+    Spark keeps the progress of the last batches only, so it is read while they run.
+    """
+    late: dict[int, int] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(0.2)
+        for p in query.recentProgress:
+            dropped = sum(state.numRowsDroppedByWatermark for state in p.stateOperators)
+            late[p.batchId] = max(dropped, late.get(p.batchId, 0))
+    return sum(late.values())
 
 
 def append_to(
@@ -66,9 +76,9 @@ def append_to(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    late = late_rows(query)
     if on_late is not None:
-        on_late(late_rows(query))
+        on_late(late)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
@@ -109,6 +119,34 @@ def upsert_by(stream: DataFrame, key: str, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def sum_to(stream: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+    """Runs a stream of keys and numbers; returns the sums per key over all batches.
+
+    A batch stores its own sums in the folder of its number, which a repeated batch
+    replaces. There is no state and no watermark: a row of any age counts, so the
+    result does not depend on how the input was cut into batches.
+    """
+    path = f"{folder}/data"
+    numbers = [c for c in stream.columns if c not in keys]
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numbers])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        summed(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    stored = stream.sparkSession.read.schema(summed(stream).schema).parquet(path)
+    return summed(stored.select(*keys, *numbers))
+
+
 def _replace_partitions(key: str, path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, _batch_id: int) -> None:
         (

@@ -3,6 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from compare import differences, duck
+from dealglass.catalog import queries
+from dealglass.catalog.oracle import all_sql
 from dealglass.session import shared_folder
 from dealglass.streaming import flows, run
 
@@ -157,3 +160,52 @@ def test_inactivity_of_a_deal_with_an_open_signal(spark):
         "deal_id string, signal_type string, resolved boolean")
     got = flows.guarded(signals, deals, held).collect()
     assert sorted((r.deal_id, r.customer_id) for r in got) == [("d2", "c2"), ("d3", "c3")]
+
+
+@pytest.mark.parametrize("name", ["stream_inactivity", "stream_activity_daily"])
+def test_registered_streams_do_not_depend_on_batches(spark, monkeypatch, name):
+    """Lines in files of no date order, one file per batch, against the SQL on all of them."""
+    source = "/root/testdata/sf0.001"
+    folder = shared_folder(spark, "test-cuts")
+    for table in ("customer", "orders", "part", "events", "nation", "region", "supplier"):
+        spark.read.parquet(f"{source}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+    lines = spark.read.parquet(f"{source}/lineitem.parquet")
+    newest_first = lines.repartitionByRange(4, F.col("l_shipdate").desc()).cache()
+    for part in range(4):
+        newest_first.where(F.spark_partition_id() == part).coalesce(1).write.mode("append").parquet(
+            f"{folder}/lineitem.parquet")
+    monkeypatch.setattr(queries, "FILES_PER_BATCH", 1)
+    assert differences(queries.all_queries()[name](spark, folder), duck(source), all_sql()[name]) == []
+
+
+def test_repeated_batches_and_late_files_are_summed_once(spark, feed):
+    folder, add = feed
+    session, out = run.stream_session(spark), shared_folder(spark, "test-sums")
+
+    def signals():
+        stream = flows.touches(activities(session, folder))
+        per_day = run.sum_to(stream, out, ["deal_id", "activity_day"])
+        rows = flows.gaps(per_day).collect()
+        return sorted((r.deal_id, (r.detected_on - DAY0.date()).days, r.activities) for r in rows)
+
+    add(("a", 0), ("a", 40), ("z", 80))
+    assert signals() == [("a", 31, 1), ("a", 71, 1)]
+    add(("a", 20), ("a", 40))                        # late: fills the first gap
+    assert signals() == [("a", 71, 4)]
+
+
+def test_late_rows_of_all_batches_are_told(spark, feed):
+    folder, add = feed
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        session = run.stream_session(spark)
+        session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+        for n in (200, 100, 90, 80, 70, 60):
+            add(("a", n))
+        late = []
+        stream = flows.activity_daily(
+            run.read_stream(session, folder, "activities", ACTIVITY, 1))
+        run.append_to(stream, shared_folder(spark, "test-late-all"), late.append)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert late == [4]  # rows are compared with the watermark before the last batch
