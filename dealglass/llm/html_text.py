@@ -9,7 +9,13 @@ parent, so a page is rendered in one pass without recursion:
 * blocks stand on lines of their own, paragraphs and the like between blank lines;
 * list items begin with "- " or their number and indent what they hold;
 * the cells of a table stand in columns of equal width, " | " between them;
-* preformatted text keeps its spaces and line breaks, ``br`` breaks a line.
+* preformatted text keeps its spaces and line breaks, ``br`` breaks a line;
+* each ``text`` of a drawing (svg) stands on a line, parts of a formula (math) are
+  joined by the signs / ^ _ where they stand above or below each other.
+
+Attributes are read by the states of HTML: a quote opens a value only right after
+"=", any other is part of a name or value; a quoted value without an end takes the
+rest of the page, as in a browser.
 
 All visible text is kept: navigation and footers too, and text of pages cut off
 in the middle. Elements nested deeper than ``MAX_DEPTH`` add their text but no
@@ -34,14 +40,27 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head title script style template noscript iframe object audio video canvas svg math "
+    "head title script style template noscript iframe object audio video canvas "
     "datalist noembed noframes".split())
 SPACED = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset".split())
 BLOCK = SPACED | frozenset(
     "html body div section article aside nav header footer main address form details summary "
-    "li dt dd figcaption center legend option optgroup search hgroup menu dir caption".split())
-CLOSES_P = BLOCK - {"html", "body", "option", "optgroup", "caption", "legend"}
+    "li dt dd figcaption center legend option optgroup search hgroup menu dir caption "
+    "svg:text".split())
+CLOSES_P = BLOCK - {"html", "body", "option", "optgroup", "caption", "legend", "svg:text"}
+# Within svg and math: not drawn, drawn on lines of their own, and back to HTML.
+UNDRAWN = frozenset(
+    "defs symbol clippath mask marker pattern lineargradient radialgradient desc metadata "
+    "annotation annotation-xml".split())
+DRAWN_TEXT = "svg:text"
+HTML_WITHIN = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+LEAVES_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img "
+    "li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul "
+    "var".split())
+JOINS = {"mfrac": "/", "msup": "^", "msub": "_", "msubsup": "_^", "mover": "^", "munder": "_",
+         "munderover": "_^", "mtr": " ", "mtable": ";"}  # between the first, second ... parts
 TABLE_PARTS = frozenset("thead tbody tfoot tr td th caption colgroup".split())
 # A start tag ends these open elements, looked for up to the given boundaries.
 ENDS = {
@@ -60,10 +79,16 @@ ENDS = {
 }
 SCOPES = frozenset("table td th caption button object template".split())  # p is closed within
 
+ATTRIBUTE = re.compile(r"""
+    ([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)
+    (?:[ \t\n\r\f]*+=[ \t\n\r\f]*+
+       (?:"([^"]*+)(?:"|\Z) | '([^']*+)(?:'|\Z) | ([^ \t\n\r\f"'>][^ \t\n\r\f>]*+) | (?=>) | \Z))?+
+    """, re.X)
+_PLAIN_ATTRIBUTE = re.sub(r"(?<!\\)\((?!\?)", "(?:", ATTRIBUTE.pattern)
 TAG = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<(?:[!?]|/(?![a-zA-Z]))[^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+    r"|<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)"
+    rf"((?:[ \t\n\r\f/]++|{_PLAIN_ATTRIBUTE})*+)(>|\Z)", re.S | re.X)
 HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
@@ -71,10 +96,14 @@ SPACES = re.compile(r"[ \t\n\r\f]+")
 class Element:
     """An open element: text of the line being written, and finished lines."""
 
-    __slots__ = ("tag", "run", "lines", "lead", "gap", "number", "rows", "seen", "pre")
+    __slots__ = ("tag", "run", "lines", "lead", "gap", "number", "rows", "seen", "pre", "foreign",
+                 "parts")
 
-    def __init__(self, tag: str, seen: bool, pre: bool, number: int | None = None):
+    def __init__(self, tag: str, seen: bool, pre: bool, number: int | None = None,
+                 foreign: bool = False):
         self.tag, self.seen, self.pre, self.number = tag, seen, pre, number
+        self.foreign = foreign  # of svg or math
+        self.parts = 0  # of a formula, closed so far
         self.run: list[str] = []  # inline text since the last line
         self.lines: list[str] = []
         self.lead = False  # a blank line is due before the first line
@@ -103,12 +132,20 @@ class Element:
         self.gap = after
 
 
-def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "")
-            for m in ATTRIBUTE.finditer(text)}
+def _attributes(text: str) -> tuple[dict[str, str], bool]:
+    """Attributes, the first of a name, and whether the tag ends with a slash."""
+    found, end = {}, 0
+    for m in ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+        end = m.end()
+    return found, text.endswith("/") and end < len(text)
 
 
-def _hidden(tag: str, attributes: dict[str, str]) -> bool:
+def _hidden(tag: str, attributes: dict[str, str], foreign: bool = False) -> bool:
+    if foreign and (
+            tag in UNDRAWN or attributes.get("display", "").strip() == "none"
+            or attributes.get("visibility", "").strip() in ("hidden", "collapse")):
+        return True
     return (
         tag in UNSEEN or "hidden" in attributes
         or (tag == "dialog" and "open" not in attributes)
@@ -141,10 +178,28 @@ class Page:
 
     def text(self, text: str) -> None:
         top = self.open[-1]
-        if top.seen:
+        if top.seen and not (top.foreign and top.tag in JOINS and not text.strip()):
             top.run.append(text)
 
-    def start(self, tag: str, rest: str) -> None:
+    def within_foreign(self) -> bool:
+        """Whether a tag that comes now belongs to svg or math."""
+        top = self.open[-1]
+        return top.foreign and top.tag not in HTML_WITHIN
+
+    def start(self, tag: str, rest: str) -> bool:
+        """Opens an element; False if it was closed by its own tag."""
+        if tag in LEAVES_FOREIGN:
+            while self.within_foreign():
+                self.close()
+        foreign = tag in ("svg", "math") or self.within_foreign()
+        if foreign:
+            if tag == "text":
+                tag = DRAWN_TEXT
+            attributes, ended = _attributes(rest)
+            deep = len(self.open) >= MAX_DEPTH and not _hidden(tag, attributes, True)
+            if not ended and (not deep or tag in RAW):
+                self.push(tag, attributes, True)
+            return not ended
         if tag in CLOSES_P:
             self.close_within({"p"}, SCOPES)
         if tag in ENDS:
@@ -152,10 +207,10 @@ class Page:
             while self.close_within(closed, bounds):
                 pass
         top = self.open[-1]
-        attributes = _attributes(rest) if rest.strip("/ \t\r\n\f") else {}
+        attributes = _attributes(rest)[0] if rest.strip("/ \t\r\n\f") else {}
         if tag in VOID:
             if not top.seen or _hidden(tag, attributes):
-                return
+                return True
             if tag == "br":
                 if top.pre:
                     top.run.append("\n")
@@ -169,17 +224,18 @@ class Page:
             elif tag == "input" and attributes.get("type", "text").lower() in (
                     "submit", "button", "reset"):
                 top.run.append(attributes.get("value", ""))
-            return
+            return True
         if tag == "body" or tag == "html":
             if any(e.tag == tag for e in self.open):
-                return
+                return True
         if len(self.open) >= MAX_DEPTH and tag not in RAW | UNSEEN and not _hidden(tag, attributes):
-            return
+            return True
         if tag in ("td", "th") and top.tag in ("table", "thead", "tbody", "tfoot"):
             self.push("tr", {})
         self.push(tag, attributes)
+        return True
 
-    def push(self, tag: str, attributes: dict[str, str]) -> None:
+    def push(self, tag: str, attributes: dict[str, str], foreign: bool = False) -> None:
         top = self.open[-1]
         number = None
         if tag == "ol":
@@ -187,11 +243,11 @@ class Page:
             number = int(first) if re.fullmatch(r"-?\d{1,9}", first) else 1
         elif tag == "li" and top.tag == "ol" and top.number is not None:
             number, top.number = top.number, top.number + 1
-        seen = top.seen and not _hidden(tag, attributes)
+        seen = top.seen and not _hidden(tag, attributes, foreign)
         if seen and (tag in BLOCK or tag in TABLE_PARTS):
             top.end_line()
         pre = (top.pre or tag in ("pre", "textarea", "xmp")) and tag not in ("td", "th")
-        self.open.append(Element(tag, seen, pre, number))
+        self.open.append(Element(tag, seen, pre, number, foreign))
 
     def close_within(self, tags: set[str], bounds) -> bool:
         """Closes the nearest open element of ``tags``, not looking beyond ``bounds``."""
@@ -204,6 +260,8 @@ class Page:
         return False
 
     def end(self, tag: str) -> None:
+        if tag == "text" and self.within_foreign():
+            tag = DRAWN_TEXT
         if tag == "br":
             self.start("br", "")
         elif tag == "p" and not any(e.tag == "p" for e in self.open):
@@ -223,6 +281,11 @@ class Page:
         if not done.seen:
             return
         tag = done.tag
+        if into.foreign and into.tag in JOINS:
+            signs = JOINS[into.tag]
+            if into.parts:
+                into.run.append(signs[min(into.parts, len(signs)) - 1])
+            into.parts += 1
         if tag not in BLOCK and tag not in TABLE_PARTS:  # inline: joins the parent's line
             if done.lines:
                 done.end_line()
@@ -282,14 +345,19 @@ def render(page: str) -> str:
         if not found:
             break
         at = found.end()
+        if page.startswith("<![CDATA[", found.start()) and out.within_foreign():
+            close = page.find("]]>", found.start())
+            at = close + 3 if close >= 0 else len(page)
+            out.text(page[found.start() + 9:close if close >= 0 else at])
+            continue
         if not found[2] or not found[4]:  # comment, declaration, or cut off within the tag
             continue
         tag = found[2].lower()
         if found[1]:
             out.end(tag)
             continue
-        out.start(tag, found[3])
-        if tag in RAW:  # nothing but its own end tag counts inside
+        opened = out.start(tag, found[3])
+        if tag in RAW and opened:  # nothing but its own end tag counts inside
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
             text = page[at:close.start() if close else len(page)]
             if tag == "textarea":

@@ -294,6 +294,33 @@ def test_layout(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>One <img alt=it's> two</p><p>We don't lose</p><p>end</p>",
+     "One it's two\n\nWe don't lose\n\nend"),
+    ('<a href="x"">link text</a> on', "link text on"),
+    ('<p class="a"b\'c>one</p><p>isn\'t "two"</p>', 'one\n\nisn\'t "two"'),
+    ("<p title = 'a > b' x='>'>one</p>", "one"), ("<p a=>one</p>", "one"),
+    ("<p a=b/>one</p><br/>two", "one\n\n\ntwo"), ('<p =" x>one', "one"),
+    ('kept <a href="no end>all of it', "kept"),
+    ("<img alt=first alt=second>", "first"),
+    ("a <svg><title>no</title><defs><text>no</text></defs><path d='M0'/><style/><g><text>b "
+     "<tspan>c</tspan></text><text/><text>d</text></g></svg> e", "a\nb c\nd\ne"),
+    ("<svg><text><![CDATA[x < y]]></text><text display=none>no</text></svg>z", "x < y\nz"),
+    ("<svg><foreignObject><p>in</p></foreignObject><g>", "in"),
+    ("<svg><defs><p>out</p>", "out"),
+    ("so <math><mi>x</mi><mo>=</mo><mfrac> <mn>1</mn> <mn>2</mn> </mfrac><msubsup><mi>y</mi>"
+     "<mn>0</mn><mn>2</mn></msubsup><annotation>no</annotation></math>.", "so x=1/2y_0^2."),
+])
+def test_stray_quotes_and_drawings(page, text):
+    assert html_text.render(page) == text
+
+
+def test_long_tags_take_linear_time():
+    page = "<p " + "a='" * 100_000 + "<b \"x" * 100_000 + "<a =" * 100_000
+    assert html_text.render(page) == ""
+    assert html_text.render("<svg>" + "<g>" * 50_000 + "deep") == "deep"
+
+
 def test_odd_pages(spark):
     rows = spark.createDataFrame(
         [(1, None, "a"), (2, "", "b"), (3, "<div>" * 3000 + "deep" + "</div>" * 3000, "c"),
