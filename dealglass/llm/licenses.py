@@ -8,8 +8,13 @@ is looked up among the digests of known licences by a hash join. Looked up are
 the whole text, each paragraph and each line, so a notice at the end of a
 document is found as well as a file that is nothing but its licence.
 
-The known licences are a fixed table in this module (or the caller's, whose
-size is checked before it is broadcast). Units are distinct per document, and
+The known licences are a fixed table (or the caller's, whose size is checked before
+it is broadcast): notices and short texts in this module and the whole texts in
+``published/``, a file per SPDX id. A whole text is known with and without its title,
+and without what follows its terms. A licence inside a document is known by its
+paragraphs: of short texts by the one that grants, of long ones by each of at least
+``PARAGRAPH_WORDS`` words that no other known licence has, how-to-apply notices left
+out. Texts that differ by a word, such as another postal address, are others. Units are distinct per document, and
 hits are few, so hot texts do not gather anywhere.
 
 A null text has a null digest and no licence; a text whose canonical form is
@@ -20,6 +25,10 @@ ordinary values. Other columns are ignored. Empty tables give an empty result.
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +50,7 @@ _ISC_END = (
     "OR PERFORMANCE OF THIS SOFTWARE."
 )
 # Licence texts and notices as published, by SPDX id.
-KNOWN = (
+SHORT = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not '
      "use this file except in compliance with the License. You may obtain a copy of the License "
@@ -81,6 +90,31 @@ KNOWN = (
      "misrepresented as being the original software. 3. This notice may not be removed or "
      "altered from any source distribution."),
 )
+# Title lines of short texts, and how the paragraph that grants begins
+# and ends. That of BSD texts is the same with two and three clauses; the third tells.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"),
+    "Zlib": ("zlib License", "The zlib License", "zlib License (Zlib)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+                     "Modified BSD License"),
+}
+GRANTS = {
+    "MIT": ("Permission is hereby", "following conditions:"),
+    "ISC": ("Permission to use", "in all copies."),
+    "0BSD": ("Permission to use", "hereby granted."),
+    "Zlib": ("Permission is granted", "following restrictions:"),
+    "Apache-2.0": ("Licensed under", "copy of the License at"),
+    "BSD-3-Clause": ("3. Neither the name", "written permission."),
+}
+RESERVED = "All rights reserved."
+END_OF_TERMS = re.compile(r"^[ \t]*END OF TERMS AND CONDITIONS[ \t]*$", re.M)
+PARAGRAPH_WORDS = 20
+PUBLISHED = Path(__file__).parent / "published"
 # A line is a copyright line if it starts like this.
 COPYRIGHT = r"^[\x20\x09\x0B-\x0D/*#;]*(copyright|\(c\)|©)"
 PUNCTUATION = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F©“”‘’–—…]+"  # keeps line breaks
@@ -95,6 +129,58 @@ SPELLINGS = (
 )
 
 
+def _paragraphs(text: str) -> list[str]:
+    kept = "\n".join(x for x in text.split("\n") if not re.match(COPYRIGHT, x.lower()))
+    return [x for x in re.split(r"\n[ \t\f\r]*\n", kept) if x.strip()]
+
+
+def _whole_texts(license_id: str, text: str) -> list[str]:
+    """The text as it is, and with and without titles, rights line and appendix.
+
+    BSD texts also with bullets for numbers, and with "owner" for "holder".
+    """
+    if license_id in TITLES:
+        bodies = [" ".join(" ".join(_paragraphs(text)).split())]
+        if license_id.startswith("BSD-"):
+            bodies.append(re.sub(r" \d\. ", " * ", bodies[0]))
+            bodies += [x.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR") for x in bodies]
+        heads = ("", *TITLES[license_id])
+        return [f"{head}\n{mark}\n{body}" for head in heads for mark in ("", RESERVED)
+                for body in bodies]
+    out = [text]
+    if end := END_OF_TERMS.search(text):
+        out += [text[:end.start()], text[:end.end()]]
+    return out + ["\n\n".join(_paragraphs(x)[1:]) for x in out]
+
+
+def _known() -> tuple[tuple[str, str], ...]:
+    """All (id, text): notices, whole texts and the paragraphs that tell a licence."""
+    files = [(f.stem, f.read_text("utf-8")) for f in sorted(PUBLISHED.glob("*.txt"))]
+    out = list(SHORT)
+    for license_id, text in (*SHORT, *files):
+        if license_id in GRANTS and (found := re.search(
+                "{}.*?{}".format(*map(re.escape, GRANTS[license_id])), text, re.S)):
+            out.append((license_id, found[0]))
+            if license_id in TITLES and (license_id, text) in SHORT:
+                out += [(license_id, x) for x in _whole_texts(license_id, text)]
+    owners: dict[str, set[str]] = defaultdict(set)
+    parts = []
+    for license_id, text in files:
+        out += [(license_id, x) for x in _whole_texts(license_id, text)]
+        end = END_OF_TERMS.search(text)
+        for part in _paragraphs(text):
+            form = " ".join(re.sub(PUNCTUATION, " ", part.lower()).split())
+            owners[form].add(license_id)
+            if len(form.split()) >= PARAGRAPH_WORDS and license_id not in TITLES and (
+                    end is None or text.find(part) < end.start()):
+                parts.append((license_id, part, form))
+    out += [(license_id, part) for license_id, part, form in parts if len(owners[form]) == 1]
+    return tuple(dict.fromkeys(out))
+
+
+KNOWN = _known()
+
+
 def canonical_lines(text: Column) -> Column:
     """Array of canonical lines; empty ones mark breaks. Copyright lines are gone."""
     lines = F.split(lower_ascii(text), "\n", -1)

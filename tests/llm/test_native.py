@@ -46,6 +46,55 @@ def test_equal_licences(spark):
     assert got[8].text_digest is None and got[8].licenses == []
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_published_files(spark):
+    isc = next(t for i, t in licenses.SHORT if i == "ISC")
+    files = {f.stem: f.read_text() for f in licenses.PUBLISHED.glob("*.txt")}
+    assert len(files) == 14
+    files["MIT"], files["ISC"] = MIT_FILE, "ISC License\n\nCopyright (c) 2004 X\n\n" + isc
+    bsd = files["BSD-3-Clause"]
+    titled = "BSD 3-Clause License\n\nCopyright (c) 1999, X\nAll rights reserved.\n\n" + bsd
+    rows = [(k, t) for k, t in files.items()] + [
+        ("BSD-3-Clause", titled), ("BSD-3-Clause", re.sub(r"(?m)^\d\.", "  *", titled)),
+        ("BSD-2-Clause", files["BSD-2-Clause"].replace("HOLDER OR CONTRIBUTORS BE", "OWNER OR CONTRIBUTORS BE"))]
+    rows += [("in " + k, "Some text.\n\n" + t + "\nMore text.") for k, t in files.items()]
+    rows.append(("cut", files["Apache-2.0"].split("   END OF TERMS")[0]))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    for r in got:
+        if r.doc_id == "cut":
+            assert r.text_license == "Apache-2.0"
+        elif r.doc_id.startswith("in "):
+            name = r.doc_id[3:]
+            # inside a document, no paragraph is of the two-clause text alone
+            assert r.text_license is None
+            assert r.licenses == ([] if name == "BSD-2-Clause" else [name])
+        else:
+            assert r.text_license == r.doc_id and r.doc_id in r.licenses
+
+
 def test_licences_of_the_caller(spark, docs, no_docs, monkeypatch):
     known = spark.createDataFrame(
         [("fox", odd.PROSE.upper()), ("afox", odd.PROSE), ("none", "..."), ("null", None)],
