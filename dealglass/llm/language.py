@@ -10,9 +10,17 @@ while that costs less likelihood than the penalty for one more language.
 
 ``lang_pred`` is the language with the largest share in the chosen set, ``score``
 its share in the mixture of all languages, ``share`` that in the mixture of the
-chosen set, ``languages`` the set by share.  A text is accepted if its language is
-known and fills a third of it: a short text with little evidence is one language, and
-only a proven mixture without a main language is refused.
+chosen set, ``languages`` the set by share.
+
+How well the languages explain the text is tested against a background of unknown
+text: the mean of all languages, flattened, with a uniform part.  Letter noise,
+encoded data and languages never learned fit it better than the languages.  If it
+adds more likelihood to all languages than the penalty, it is part of the text, and
+``share`` is that of ``lang_pred`` beside it.  A text is accepted if its language fills a
+third of it: a short text with little evidence is one language; a mixture without a
+main language is refused, and a text of which the background leaves too little.  A
+language much like a learned one can pass as that one, and the test is as good as the
+labelled text: where that has few words, new words look unknown.
 
 A text that is null or has no letter, or any text when nothing could be learned,
 is ``und`` with score and share 0 and an empty set. Rows without an id are never learned
@@ -36,6 +44,8 @@ MAX_LANGUAGES = 256  # the model then has 128 MB
 SMOOTHING = 0.05  # added to every count, times the language's mean count
 PENALTY = 4.0  # times log(trigrams) per further language; trigrams overlap
 ROUNDS = 30
+FLATTEN = 0.7  # power of the mean distribution in the background
+UNIFORM = 0.3  # part of the background that is equal for all trigrams
 MIN_SHARE = 1 / 3  # of the main language in an accepted text
 UNKNOWN = "und"
 MIXTURE = "lang_pred string, score double, share double, languages array<string>"
@@ -122,8 +132,34 @@ def shares(likelihood: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
     return share, float(n @ np.log(mixed))
 
 
-def mixture(codes: np.ndarray, langs: list[str], model: np.ndarray):
-    """(language, score, share, languages by share) of one document's trigrams."""
+def background(model: np.ndarray) -> np.ndarray:
+    """Trigram probabilities of text in no learned language."""
+    if not model.shape[1]:
+        return np.full(BINS, 1 / BINS)
+    flat = model.mean(axis=1) ** FLATTEN
+    return (1 - UNIFORM) * flat / flat.sum() + UNIFORM / BINS
+
+
+def beside_unknown(likelihood: np.ndarray, n: np.ndarray, every: np.ndarray, best: float,
+                   unknown: np.ndarray, price: float) -> np.ndarray | None:
+    """Shares of all languages beside the background, or None if that is not proven.
+
+    ``every`` and ``best`` are the shares and log-likelihood without it.  As the
+    likelihood is concave, the first step bounds what the background can add.
+    """
+    ratio = float(n @ (unknown / (likelihood @ every))) / n.sum()
+    if ratio <= 1 or n.sum() * np.log(ratio) <= price:
+        return None
+    share, value = shares(np.column_stack((likelihood, unknown)), n)
+    return share[:-1] if value - best > price else None
+
+
+def mixture(codes: np.ndarray, langs: list[str], model: np.ndarray,
+            unknown: np.ndarray | None = None):
+    """(language, score, share, languages by share) of one document's trigrams.
+
+    ``unknown`` is ``background(model)``, if the caller has it.
+    """
     if not len(codes) or not langs:
         return UNKNOWN, 0.0, 0.0, []
     bins, n = np.unique(codes, return_counts=True)
@@ -146,18 +182,24 @@ def mixture(codes: np.ndarray, langs: list[str], model: np.ndarray):
     order = np.lexsort((chosen, -share))
     names = [langs[chosen[i]] for i in order]
     first = order[0]
-    return names[0], float(min(1.0, every[chosen[first]])), float(min(1.0, share[first])), names
+    main = share[first]
+    if unknown is None:
+        unknown = background(model)
+    beside = beside_unknown(likelihood, n, every, best_all, unknown[bins], price)
+    if beside is not None:
+        main = min(main, beside[chosen[first]])
+    return names[0], float(min(1.0, every[chosen[first]])), float(min(1.0, main)), names
 
 
 def detector(docs: DataFrame, langs: list[str], model: np.ndarray):
     """A column function: text to a struct of ``MIXTURE``."""
-    shared = docs.sparkSession.sparkContext.broadcast((langs, model))
+    shared = docs.sparkSession.sparkContext.broadcast((langs, model, background(model)))
 
     @F.pandas_udf(MIXTURE)
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names, table = shared.value
+        names, table, unknown = shared.value
         for batch in batches:
-            rows = [mixture(trigrams(text), names, table) for text in batch]
+            rows = [mixture(trigrams(text), names, table, unknown) for text in batch]
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "share", "languages"])
 
     return detect.asNondeterministic()  # so that a filter does not run it again
@@ -172,7 +214,7 @@ def predict(
 
 
 def accepted(language: Column, min_share: float = MIN_SHARE) -> Column:
-    """In a known language that fills ``min_share`` of the text."""
+    """In a known language that fills ``min_share`` of the text, unknown text included."""
     return (language["lang_pred"] != UNKNOWN) & (language["share"] >= min_share)
 
 

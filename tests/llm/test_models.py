@@ -466,3 +466,36 @@ def test_language_odd_rows(spark, docs, no_docs):
     assert kept.columns == docs.columns
     assert kept.count() == sum(r.language.lang_pred != "und" for r in got)
     assert language.predict(no_docs.drop("language")).count() == 0
+
+
+def test_unknown_text_is_refused():
+    """Letter noise, encoded data and a language left out; clean, short and mixed texts stay."""
+    rng = np.random.default_rng(1)
+    words = {
+        "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als "
+              "auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie",
+        "en": "the of and to in is that for it was on with as his they at be this from have or "
+              "by one had not but what all were when we there can an your which their said if",
+        "pl": "nie się w na jest że do z to co jak ale za tak po czy już mnie przez jego mi gdy "
+              "tylko może być jeszcze wszystko dlaczego proszę dziękuję człowiek szczęście",
+    }
+
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang].split(), n))
+
+    langs = ["de", "en"]
+    model = np.stack([np.bincount(language.trigrams(text(x, 3000)), minlength=language.BINS)
+                      for x in langs], axis=1).astype(float)
+    model += language.SMOOTHING * model.sum(0) / language.BINS
+    model /= model.sum(0)
+
+    def share(text):
+        return language.mixture(language.trigrams(text), langs, model)[2]
+
+    noise = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400))
+    encoded = "".join(rng.choice(list("ABCDEFGHabcdefghijklmnopqrstuvwxyz0123456789+/"), 400))
+    for bad in (noise, noise[:40], encoded, text("pl", 100), "Съешь же ещё этих мягких булок"):
+        assert share(bad) < language.MIN_SHARE
+    for good in (text("en", 200), text("de", 200), "The cat", "is it", "und",
+                 text("en", 60) + " " + text("de", 50), text("en", 60) + " " + noise[:150]):
+        assert share(good) >= language.MIN_SHARE
