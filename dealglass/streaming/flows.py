@@ -94,7 +94,8 @@ def inactivity(activities: DataFrame, idle_days: int = 30, delay: str = "1 day")
         activities.select("deal_id", on_day.alias("activity_day"))
         .withWatermark("activity_day", delay)
         .groupBy("deal_id", _session(idle_days))
-        .agg(F.count(F.lit(1)).alias("activities")),
+        .agg(F.max("activity_day").cast("date").alias("last_day"),
+             F.count(F.lit(1)).alias("activities")),
         idle_days)
 
 
@@ -103,7 +104,9 @@ def _session(idle_days: int) -> Column:
 
 
 def _signals(sessions: DataFrame, idle_days: int) -> DataFrame:
-    last_day = F.date_sub(F.col("quiet.end").cast("date"), idle_days)
+    """``last_day`` is an aggregate, not the session's end: a filter on a grouping key
+    would be moved below the merge of sessions and hide the touches that end a gap."""
+    last_day = F.col("last_day")
     return sessions.select(
         "deal_id",
         F.lit("No Activity").alias("signal_type"),
@@ -129,7 +132,9 @@ def gaps(per_day: DataFrame, idle_days: int = 30, delay_days: int = 1) -> DataFr
     a later activity fills is gone from the next result.
     """
     sessions = per_day.withColumn("activity_day", F.col("activity_day").cast("timestamp")).groupBy(
-        "deal_id", _session(idle_days)).agg(F.sum("activities").alias("activities"))
+        "deal_id", _session(idle_days)).agg(
+            F.max("activity_day").cast("date").alias("last_day"),
+            F.sum("activities").alias("activities"))
     return _signals(sessions, idle_days).where(F.col("detected_on") <= _mark(per_day, delay_days))
 
 
