@@ -49,3 +49,11 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, or with as many underscores as no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dealglass.llm import (
     decontaminate, html_text, jaccard, language, licenses, packing, quality_model, quality_rules,
-    sharding, token_counts)
+    sharding, token_counts, whitening)
 from dealglass.llm.common import held_out, read
 
 
@@ -86,11 +86,28 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    white, fitted, error = whitening.whiten(vectors)
+    explained = [] if fitted is None else fitted.explained.tolist()
+    each = white.select(
+        "vec_id", "whitening.deviation",
+        F.posexplode("whitening.whitened").alias("component", "whitened"))
+    return each.select(
+        "vec_id", (F.col("component") + 1).cast("int").alias("component"),
+        F.lit(0 if fitted is None else fitted.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation as bigint)").alias("deviation"),  # null beyond a long
+        "whitened",
+        F.get(F.lit(explained).cast("array<double>"), F.col("component")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_decontamination, op3_quality_classifier, op4_jaccard_join,
         op5_token_counts, op6_quality_rules, op7_html_text, op8_best_fit_packing, op9_sharding,
-        op10_language_id,
+        op10_language_id, op12_embedding_whitening,
     )
 }
