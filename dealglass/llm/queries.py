@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealglass.llm import (
-    decontaminate, html_text, jaccard, language, licenses, packing, quality_model, quality_rules,
-    sharding, token_counts, whitening)
-from dealglass.llm.common import held_out, read
+    decontaminate, html_text, jaccard, language, licenses, packing, periodic_runs, quality_model,
+    quality_rules, sharding, token_counts, whitening)
+from dealglass.llm.common import SPACE_WORD, held_out, matches, read
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,6 +86,39 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """The texts of op11: in a tenth of the documents, by the id's CRC-32, the words from
+    one on are those of a cycle.  The others, and those without an id, stay as they are."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.select(
+        "doc_id", "text", F.floor(code / 10).alias("g"),
+        F.when(code % 10 == 0, matches(F.col("text"), SPACE_WORD)).alias("words"))
+    placed = split.withColumn("n", F.size("words")).withColumn(
+        "a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    timed = placed.withColumn(
+        "p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    cycle = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    cycles = F.flatten(F.array_repeat(cycle, times))
+    words = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), cycles), F.lit(1), F.col("n"))
+    text = F.when(F.col("p").isNull(), F.col("text")).otherwise(F.array_join(words, " "))
+    return timed.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs.with_runs(_repeating(docs)).select("doc_id", "periodic.*")
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.*",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
     white, fitted, error = whitening.whiten(vectors)
@@ -108,6 +141,6 @@ TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_license_scan, op2_decontamination, op3_quality_classifier, op4_jaccard_join,
         op5_token_counts, op6_quality_rules, op7_html_text, op8_best_fit_packing, op9_sharding,
-        op10_language_id, op12_embedding_whitening,
+        op10_language_id, op11_periodic_runs, op12_embedding_whitening,
     )
 }
