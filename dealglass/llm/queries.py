@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dealglass.llm import (
     decontaminate, html_text, jaccard, language, licenses, packing, periodic_runs, quality_model,
-    quality_rules, sharding, token_counts, whitening)
+    quality_rules, sharding, token_counts, toxicity, whitening)
 from dealglass.llm.common import SPACE_WORD, held_out, matches, read
 
 
@@ -136,11 +136,25 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, read(spark, folder, "labels"))
+    scored = toxicity.with_scores(docs, model).select("doc_id", "toxicity.*")
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"])),
+                     ",").alias("spans"),
+    )
+
+
 TEXT_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_decontamination, op3_quality_classifier, op4_jaccard_join,
         op5_token_counts, op6_quality_rules, op7_html_text, op8_best_fit_packing, op9_sharding,
         op10_language_id, op11_periodic_runs, op12_embedding_whitening,
+        op13_toxicity,
     )
 }
