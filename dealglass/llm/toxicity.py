@@ -37,6 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,60 +197,62 @@ class Model:
     """Feature weights, transitions, and the scale of the document score."""
 
     def __init__(
-        self, words: dict[int, list[int]], texts: list[list[int]], labels: list[int],
-        held: list[bool] | None = None,
+        self, keys: np.ndarray, bins: np.ndarray, texts: list[np.ndarray], labels,
+        held=None,
     ):
-        order = {key: k for k, key in enumerate(words)}
-        sizes = [len(words[key]) for key in words]
-        bins = np.array([b for key in words for b in words[key]], np.int64)
-        word_of = np.repeat(np.arange(len(words)), sizes)
-        codes = [np.array([order[key] for key in text], np.int64) for text in texts]
-        bins, word_of = _shared(bins, word_of, codes, len(words))
+        """Learns from texts of word keys; ``bins`` has a row for each of the sorted ``keys``."""
+        codes = [np.searchsorted(keys, text) for text in texts]
+        lengths = np.array([len(c) for c in codes], np.int64)
         labels = np.asarray(labels)
-        held = np.zeros(len(texts), bool) if held is None else np.asarray(held)
+        held = np.zeros(len(texts), bool) if held is None else np.asarray(held, bool)
+        bins = np.where(_in_texts(bins, codes)[bins] > 1, bins, 0)  # others tell of one text only
         self.weights = np.zeros(BINS)
         self.bias = START
         self.chain = Chain(0.0, 0.0, 0.0)
-        learn = [k for k in range(len(texts)) if not held[k] and len(codes[k])]
-        self._climb(bins, word_of, [codes[k] for k in learn], labels[learn], len(words))
+        learn = [k for k in range(len(texts)) if not held[k] and lengths[k]]
+        self._climb(bins, [codes[k] for k in learn], labels[learn])
         self.scale = np.array([0.0, 1.0, 0.0])
         check = [k for k in range(len(texts)) if held[k]] if held.any() else list(range(len(texts)))
-        of_word = self._of_words(bins, word_of, len(words))
-        inputs = self.inputs(
-            np.concatenate([of_word[codes[k]] for k in check] or [np.zeros(0)]),
-            np.array([len(codes[k]) for k in check], np.int64))[0]
         if len(set(labels[check].tolist())) == 2:
-            self.scale = _logistic(inputs, labels[check])
+            of_word = self.bias + self.weights[bins].sum(1)
+            inputs = [self.inputs(of_word[np.concatenate([codes[k] for k in part])], lengths[part])[0]
+                      for part in _parts(check, lengths)]
+            self.scale = _logistic(np.concatenate(inputs), labels[check])
 
-    def _of_words(self, bins: np.ndarray, word_of: np.ndarray, n: int) -> np.ndarray:
-        return self.bias + np.bincount(word_of, self.weights[bins], n)
-
-    def _climb(self, bins, word_of, codes, labels, n) -> None:
-        """Adam on the likelihood of the labels."""
+    def _climb(self, bins: np.ndarray, codes: list[np.ndarray], labels: np.ndarray) -> None:
+        """Adam on the likelihood of the labels, in blocks of texts."""
         if not codes:
             return
-        flat, lengths = np.concatenate(codes), np.array([len(c) for c in codes])
-        text_of = np.repeat(np.arange(len(codes)), lengths)
+        lengths = np.array([len(c) for c in codes])
         share = np.where(labels == 1, 0.5 / max((labels == 1).sum(), 1),
                          0.5 / max((labels == 0).sum(), 1))
-        used = np.unique(bins)
-        place = np.searchsorted(used, bins)
+        used, place = np.unique(bins, return_inverse=True)
+        place = place.reshape(bins.shape)
+        blocks = [(np.concatenate([codes[k] for k in part]), lengths[part], labels[part], share[part])
+                  for part in _parts(list(range(len(codes))), lengths)]
         values = np.concatenate((np.zeros(len(used)), [self.bias, 0.0, 0.0, 0.0]))
         mean, square = np.zeros(len(values)), np.zeros(len(values))
         for step in range(1, ROUNDS + 1):
-            of_word = values[-4] + np.bincount(word_of, values[place], n)
+            of_word = values[-4] + values[place].sum(1)
             chain = Chain(*values[-3:])
-            log_z, marginal, moves = marginals(of_word[flat], lengths, chain)
-            # Gradient of the loss by log Z.  Of a toxic text the likelihood is that of a toxic
-            # word or, with NOISE, of a wrong label; a clean one's is 1 / Z.
-            clean = np.exp(-log_z)
-            toxic = -(1 - NOISE) * clean / (NOISE + (1 - NOISE) * (1 - clean))
-            by_z = np.where(labels == 1, toxic, 1.0) * share
-            by_word = np.bincount(flat, marginal * by_z[text_of], n)
-            slope = np.concatenate((
-                np.bincount(place, by_word[word_of], len(used)), [by_word.sum()], by_z @ moves))
+            by_word, by_move = np.zeros(len(bins)), np.zeros(3)
+            for words, sizes, marked, weight in blocks:
+                log_z, marginal, moves = marginals(of_word[words], sizes, chain)
+                # Gradient of the loss by log Z.  Of a toxic text the likelihood is that of a
+                # toxic word or, with NOISE, of a wrong label; a clean one's is 1 / Z.
+                clean = np.exp(-log_z)
+                toxic = -(1 - NOISE) * clean / (NOISE + (1 - NOISE) * (1 - clean))
+                by_z = np.where(marked == 1, toxic, 1.0) * weight
+                by_word += np.bincount(words, marginal * np.repeat(by_z, sizes), len(bins))
+                by_move += by_z @ moves
+            slope = np.zeros(len(values))
+            for column in place.T:
+                slope[:-4] += np.bincount(column, by_word, len(used))
+            slope[-4], slope[-3:] = by_word.sum(), by_move
             slope[:-4] += DECAY * values[:-4] / len(codes)
             slope[-3:] += DECAY * values[-3:]
+            if used[0] == 0:
+                slope[0] = 0  # stands for no feature
             mean = 0.9 * mean + 0.1 * slope
             square = 0.99 * square + 0.01 * slope**2
             step_size = RATE * (1 - step / (ROUNDS + 1))
@@ -270,18 +273,18 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(inputs @ self.scale, -40, 40)))
 
 
-def _shared(
-    bins: np.ndarray, word_of: np.ndarray, codes: list[np.ndarray], n: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The bins of words, without those that one text only has: they tell nothing of others."""
-    begin = np.searchsorted(word_of, np.arange(n + 1))
+def _in_texts(bins: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
+    """In how many texts each bin occurs."""
     texts = np.zeros(BINS, np.int64)
     for text in codes:
-        at = [bins[begin[k]:begin[k + 1]] for k in np.unique(text).tolist()]
-        if at:
-            texts[np.unique(np.concatenate(at))] += 1
-    kept = (texts[bins] > 1) & (bins > 0)
-    return bins[kept], word_of[kept]
+        texts[np.unique(bins[np.unique(text)])] += 1
+    return texts
+
+
+def _parts(texts: list[int], lengths: np.ndarray) -> list[list[int]]:
+    """The texts in blocks of about ``BLOCK`` words."""
+    block = np.cumsum(lengths[texts]) // BLOCK
+    return [[texts[k] for k in np.flatnonzero(block == b)] for b in np.unique(block)]
 
 
 def _logistic(inputs: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -385,13 +388,17 @@ def learn(
 ) -> Model | None:
     """None unless there are sampled texts of both labels."""
     texts = store(_as_keys(sample(docs, labels, doc_id, text, label)), "toxic-sample")
-    rows = texts.select("keys", "label", "held").orderBy("label", "held", "keys").collect()
-    if len({r["label"] for r in rows}) < 2:
+    rows = texts.select("keys", "label", "held").orderBy("label", "held", "keys").toArrow()
+    marks = rows["label"].to_numpy()
+    if len(set(marks.tolist())) < 2:
         return None
     each = texts.select(F.explode("words").alias("word")).select("word.*")
-    words = dict(each.groupBy("key").agg(F.min("bins")).orderBy("key").collect())
-    return Model(words, [r["keys"] for r in rows], [r["label"] for r in rows],
-                 [r["held"] for r in rows])
+    words = each.groupBy("key").agg(F.min("bins").alias("bins")).orderBy("key").toArrow()
+    bins = words["bins"].combine_chunks().flatten().to_numpy().reshape(len(words), -1)
+    lists = rows["keys"].combine_chunks()
+    flat, ends = lists.flatten().to_numpy(), np.cumsum(pa.compute.list_value_length(lists))
+    return Model(words["key"].to_numpy(), bins, np.split(flat, ends[:-1]), marks,
+                 rows["held"].to_numpy(zero_copy_only=False))
 
 
 def with_scores(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -70,11 +70,10 @@ def test_gradient_of_log_z_is_the_marginal():
 
 
 def learned(texts, labels):
-    words = {}
     lists = [toxicity._WORDS.findall(t) for t in texts]
-    for found in lists:
-        words.update(zip(map(key, found), features(found).tolist()))
-    return Model(words, [[key(w) for w in x] for x in lists], labels)
+    words = sorted({w for x in lists for w in x}, key=key)
+    return Model(np.array([key(w) for w in words]), features(words),
+                 [np.array([key(w) for w in x]) for x in lists], labels)
 
 
 @pytest.fixture(scope="module")
