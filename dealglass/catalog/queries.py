@@ -16,7 +16,7 @@ from dealglass.operators import (
     changes, cohorts, customers, pipeline, quality, reps, revenue, upsell)
 from dealglass.session import shared_folder
 from dealglass.sources import orders, tables
-from dealglass.streaming import flows, run
+from dealglass.streaming import flows, idle, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 ModelQuery = Callable[[Model, dt.date], DataFrame]
@@ -203,11 +203,9 @@ def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
 def stream_inactivity(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
     touches = orders.activities(_feed(session, folder, "lineitem"))
-    per_day = run.sum_to(
-        flows.touches(touches), shared_folder(spark, "stream-inactivity"),
-        ["deal_id", "activity_day"])
+    found = idle.signals(touches, shared_folder(spark, "stream-inactivity"))
     m = orders.model(session, folder)
-    return flows.guarded(flows.gaps(per_day), m.deals, m.churn_signals)
+    return flows.guarded(found, m.deals, m.churn_signals)
 
 
 def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:

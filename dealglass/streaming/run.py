@@ -27,9 +27,9 @@ STREAM_SETTINGS = {
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session on the same cluster with the streaming options; the caller's stays as is."""
     session = spark.newSession()
-    partitions = "spark.sql.shuffle.partitions"
-    session.conf.set(partitions, spark.conf.get(partitions))
-    for key, value in STREAM_SETTINGS.items():
+    own = {k: v for k, v in spark.conf.getAll.items()
+           if k.startswith("spark.sql.") and spark.conf.isModifiable(k)}
+    for key, value in {**own, **STREAM_SETTINGS}.items():
         session.conf.set(key, value)
     return session
 
@@ -82,6 +82,26 @@ def append_to(
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
+def refuse_late(late: int) -> None:
+    """For streams in which no row can be late: rows that were would be lost."""
+    if late:
+        raise RuntimeError(f"{late} rows came after the watermark")
+
+
+def each_batch(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], folder: str
+) -> None:
+    """Runs a stream until its input is used up, handing each batch and its number to ``write``."""
+    (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
 def append_new_to(stream: DataFrame, folder: str, key: str, partition: str) -> DataFrame:
     """Runs a stream whose rows are appended once per ``key``; returns the table.
 
