@@ -22,11 +22,13 @@ days, however many activities it has.
 from __future__ import annotations
 
 import datetime as dt
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -35,8 +37,8 @@ from dealglass.streaming import run
 DAY_MS = 86_400_000
 EPOCH = dt.date(1970, 1, 1)
 GROUPS = 512
-STATE = "deal_id {key}, spans array<struct<first:int,last:int,n:bigint,told:boolean>>"
-OUTPUT = "deal_id {key}, last_activity_date date, activities bigint, sign int"
+STATE = "deal_id {key}, spans binary"  # four 64-bit numbers a stretch, as Span
+OUTPUT = "deal_id {key}, last int, activities bigint, sign int"
 ARRIVALS = "deal_id {key}, day int, n bigint, clock timestamp"
 
 Span = tuple[int, int, int, bool]  # first day, last day, activities, told
@@ -54,6 +56,16 @@ def joined(spans: list[Span], days: list[tuple[int, int]], idle_days: int) -> li
     return out
 
 
+def packed(spans: list[Span]) -> bytes:
+    """The stretches as one value: state rows cross to the JVM field by field."""
+    return array("q", [x for span in spans for x in span]).tobytes()
+
+
+def unpacked(data: bytes) -> list[Span]:
+    flat = array("q", bytes(data)).tolist()
+    return [(*flat[k:k + 3], bool(flat[k + 3])) for k in range(0, len(flat), 4)]
+
+
 def told(spans: list[Span], mark: int, idle_days: int) -> list[Span]:
     """The stretches, told where the day after the allowed ones is not beyond ``mark``."""
     return [(a, b, n, b + idle_days + 1 <= mark) for a, b, n, _ in spans]
@@ -71,21 +83,24 @@ class IdleTimers(StatefulProcessor):
         self.deals = handle.getListState("deals", self.schema)
         self.armed = handle.getValueState("armed", "at bigint")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(
+        self, key, rows: Iterator[pd.DataFrame], timerValues
+    ) -> Iterator[pd.DataFrame]:
         days = defaultdict(list)
-        for r in rows:
-            days[r["deal_id"]].append((r["day"], r["n"]))
+        for part in rows:
+            for deal, day, n in zip(*(part[c].tolist() for c in ("deal_id", "day", "n"))):
+                days[deal].append((day, n))
         return self._step(days, timerValues)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         return self._step({}, timerValues)
 
     def close(self) -> None:
         pass
 
-    def _step(self, days: dict, timer_values) -> Iterator[Row]:
+    def _step(self, days: dict, timer_values) -> Iterator[pd.DataFrame]:
         mark = timer_values.getCurrentWatermarkInMs() // DAY_MS
-        held = {deal: [tuple(s) for s in spans] for deal, spans in self.deals.get()}
+        held = {deal: unpacked(spans) for deal, spans in self.deals.get()}
         out, waiting, kept = [], [], []
         for deal in {**held, **days}:
             before = held.get(deal, [])
@@ -93,13 +108,12 @@ class IdleTimers(StatefulProcessor):
             was = {s[:3] for s in before if s[3]}
             now = {s[:3] for s in after if s[3]}
             for sign, spans in ((-1, was - now), (1, now - was)):
-                out += [Row(deal_id=deal, last_activity_date=EPOCH + dt.timedelta(last),
-                            activities=n, sign=sign) for _, last, n in sorted(spans)]
+                out += [(deal, last, n, sign) for _, last, n in sorted(spans)]
             waiting += [last for _, last, _, done in after if not done]
-            kept.append((deal, after))
+            kept.append((deal, packed(after)))
         self.deals.put(kept)
         self._arm((min(waiting) + self.idle_days + 1) * DAY_MS - 1 if waiting else None)
-        return iter(out)
+        return iter([pd.DataFrame(out, columns=["deal_id", "last", "activities", "sign"])])
 
     def _arm(self, wanted: int | None) -> None:
         """One timer, for the stretch that can be told first."""
@@ -159,7 +173,7 @@ def signals(
         arrivals.withColumn("group", F.pmod(F.xxhash64("deal_id"), F.lit(groups)))
         .withWatermark("clock", delay)
         .groupBy("group")
-        .transformWithState(
+        .transformWithStateInPandas(
             statefulProcessor=IdleTimers(idle_days, key), outputStructType=OUTPUT.format(key=key),
             outputMode="Append", timeMode="EventTime")
     )
@@ -168,8 +182,8 @@ def signals(
 
 def standing(changes: DataFrame, idle_days: int = 30) -> DataFrame:
     """The signals whose signs add up to one, as ``flows.inactivity`` gives them."""
-    held = changes.groupBy("deal_id", "last_activity_date", "activities").agg(
-        F.sum("sign").alias("sign"))
+    held = changes.groupBy("deal_id", "last", "activities").agg(F.sum("sign").alias("sign"))
+    held = held.withColumn("last_activity_date", F.date_from_unix_date("last"))
     return held.where("sign > 0").select(
         "deal_id",
         F.lit("No Activity").alias("signal_type"),
