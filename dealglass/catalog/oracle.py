@@ -227,19 +227,20 @@ TABLES = {
 }
 
 
-def with_tables(body: str) -> str:
+def with_tables(body: str, instead: dict[str, str] | None = None) -> str:
     """Prefixes the domain tables a query uses, in dependency order."""
+    tables = {**TABLES, **(instead or {})}
     def used(sql: str) -> set[str]:
         words = set(re.findall(r"\b[a-z_0-9]+\b", re.sub(r"'[^']*'", "", sql)))
-        return words & set(TABLES)
+        return words & set(tables)
 
     needed, todo = set(), used(body)
     while todo:
         name = todo.pop()
         if name not in needed:
             needed.add(name)
-            todo |= used(TABLES[name]) - {name}
-    ctes = ",\n".join(f"{t} AS ({TABLES[t]})" for t in TABLES if t in needed)
+            todo |= used(tables[name]) - {name}
+    ctes = ",\n".join(f"{t} AS ({tables[t]})" for t in tables if t in needed)
     body = body.strip()
     if not ctes:
         return body
@@ -367,7 +368,8 @@ SQL["monthly_revenue_summary"] = SQL["mv_roundtrip"] = f"""WITH t AS (SELECT *,
 
 SQL["stream_monthly_revenue"] = f"""WITH t AS (SELECT *,
       lag(amt_c) OVER (ORDER BY mon) AS prev_c FROM months)
-    SELECT {text("mon")} AS revenue_month, {big("recs")} AS total_transactions,
+    SELECT {text("mon")} AS revenue_month, {big("payers")} AS paying_customers,
+    {big("recs")} AS total_transactions,
     {usd("amt_c")} AS total_revenue, {usd("mrr_c")} AS total_mrr, {usd("arr_c")} AS total_arr,
     {usd("new_c")} AS new_business_revenue, {usd("exp_c")} AS expansion_revenue,
     {usd("ren_c")} AS renewal_revenue, {usd("churn_c")} AS churned_revenue,
@@ -658,7 +660,7 @@ SQL["audit_log_diff"] = f"""WITH o AS ({snapshot("DATE '2000-01-01'")}), w AS ({
 
 SQL["detect_inactivity"] = f"""WITH t AS (SELECT deal_id, customer_id,
       coalesce({AS_OF} - last_on, 999) AS idle FROM deal LEFT JOIN by_deal_act USING (deal_id))
-    SELECT md5('No Activity|' || deal_id || '|2001-06-01') AS signal_id, customer_id, deal_id,
+    SELECT {stable("'No Activity'", "deal_id", "'2001-06-01'")} AS signal_id, customer_id, deal_id,
     'No Activity' AS signal_type, CASE WHEN idle > 60 THEN 'Critical' WHEN idle > 45 THEN 'High'
       ELSE 'Medium' END AS severity, '2001-06-01 00:00:00' AS detected_at, false AS resolved
     FROM t WHERE idle > 30 AND NOT EXISTS (SELECT 1 FROM sig
@@ -966,5 +968,68 @@ SQL["stable_ids"] = f"""SELECT deal_id,
     {stable("deal_name", "customer_id", stamp("created_at"))} AS stable_id FROM deal"""
 
 
+# ------------------------------------------------- history and refreshed results
+
+PURGED = "stage_id = 7 AND closed_on <= {day} - INTERVAL 5 YEAR"
+
+
+def deals_on(day: str) -> str:
+    """The deal table as it stood at the end of a day."""
+    later = f"coalesce(closed_on > {day}, false)"
+    return f"""SELECT * REPLACE (CASE WHEN {later} THEN 5 ELSE stage_id END AS stage_id,
+      CASE WHEN NOT {later} THEN closed_on END AS closed_on, active OR {later} AS active)
+      FROM ({TABLES["deal"]}) WHERE created_on <= {day}
+      AND NOT coalesce({PURGED.format(day=day)}, false)"""
+
+
+REPLAY_DAY = "DATE '2000-01-01'"
+SQL["audit_replay_customers"] = SQL["scan_customers"]
+SQL["audit_replay_deals"] = f"""SELECT deal_id, customer_id, {big("stage_id")} AS stage_id, deal_name,
+    {usd("val_c")} AS deal_value, {text("close_on")} AS expected_close_date,
+    {text("closed_on")} AS actual_close_date, {stamp("created_at")} AS created_at, deal_source,
+    rep AS assigned_rep, {big("age")} AS days_in_stage, active AS is_active
+    FROM ({deals_on(REPLAY_DAY)})"""
+SQL["audit_replay_revenue_records"] = f"""SELECT revenue_id, revenue_id AS deal_id, customer_id,
+    kind AS revenue_type, {usd("amt_c")} AS amount, {text("billed_on")} AS revenue_date,
+    period AS billing_period, paid AS payment_status, {usd("mrr_c")} AS mrr_contribution,
+    {usd("arr_c")} AS arr_contribution FROM rev WHERE billed_on <= {REPLAY_DAY}"""
+SQL["audit_replay_churn_signals"] = f"""SELECT signal_id, customer_id, deal_id, kind AS signal_type,
+    severity, {stamp("detected_at")} AS detected_at,
+    resolved AND detected_at + INTERVAL 30 DAY <= TIMESTAMP '2024-02-14 23:59:59' AS resolved
+    FROM sig WHERE detected_at <= TIMESTAMP '2024-02-14 23:59:59'"""
+
+STAGE_LOG = f"""SELECT deal_id, created_at AS since,
+      CASE WHEN closed_on IS NOT NULL THEN 5 ELSE stage_id END AS stage_id FROM deal
+    UNION ALL SELECT deal_id, closed_on, stage_id FROM deal
+      WHERE closed_on IS NOT NULL AND stage_id <> 5
+    UNION ALL SELECT deal_id, closed_on + INTERVAL 5 YEAR, NULL FROM deal WHERE stage_id = 7"""
+SQL["deal_stage_age"] = f"""WITH log AS ({STAGE_LOG}),
+    touch AS (SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber
+      AS activity_id, l_orderkey AS deal_id, l_shipdate AS touched FROM lineitem)
+    SELECT activity_id, touch.deal_id, {stamp("touched")} AS activity_date,
+    {big("stage_id")} AS stage_id,
+    CASE WHEN stage_id IS NOT NULL THEN {big("CAST(touched AS DATE) - CAST(since AS DATE)")} END
+      AS days_in_stage
+    FROM touch ASOF LEFT JOIN log ON touch.deal_id = log.deal_id AND touched >= since"""
+
+SQL["stream_quarter_payers"] = f"""SELECT
+    {text("CAST(date_trunc('quarter', billed_on) AS DATE)")} AS revenue_quarter,
+    {n("DISTINCT customer_id")} AS paying_customers FROM rev GROUP BY ALL"""
+SQL["stream_cohort_sizes"] = f"""SELECT {text("mon")} AS cohort_month, {n()} AS cohort_size
+    FROM (SELECT customer_id, {month("min(created_on)")} AS mon FROM deal GROUP BY customer_id)
+    GROUP BY mon"""
+# The results that streams refresh, over the tables as they stand at the end of the feed.
+AT_END = {
+    "deal": deals_on(AS_OF),
+    "rev": f"SELECT * FROM ({TABLES['rev']}) WHERE billed_on <= {AS_OF}",
+}
+REFRESHED = {
+    "stream_pipeline_health": SQL["pipeline_health"],
+    "stream_customer_segments": SQL["customer_segments"],
+    "stream_cohort_sizes": SQL["stream_cohort_sizes"],
+}
+
+
 def all_sql() -> dict[str, str]:
-    return {name: with_tables(body) for name, body in SQL.items()}
+    plain = {name: with_tables(body) for name, body in SQL.items()}
+    return {**plain, **{name: with_tables(body, AT_END) for name, body in REFRESHED.items()}}

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 from dealglass.catalog import primitives
 from dealglass.model import Model
 from dealglass.operators import (
-    changes, cohorts, customers, pipeline, quality, reps, revenue, upsell)
+    changes, cohorts, customers, history, pipeline, quality, reps, revenue, upsell)
 from dealglass.session import shared_folder
+from dealglass.sources import history as history_feed
 from dealglass.sources import orders, tables
-from dealglass.streaming import flows, idle, run
+from dealglass.streaming import deltas, flows, idle, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 ModelQuery = Callable[[Model, dt.date], DataFrame]
@@ -25,6 +26,13 @@ ModelQuery = Callable[[Model, dt.date], DataFrame]
 BANDS = (3000, 7000)
 RUN_AT = dt.datetime(2001, 6, 1)
 SNAPSHOT_BEFORE = dt.date(2000, 1, 1)
+# The ends of the days that the audit log is replayed to.
+REPLAY_AT = {
+    "customers": dt.datetime(2000, 1, 1, 23, 59, 59),
+    "deals": dt.datetime(2000, 1, 1, 23, 59, 59),
+    "revenue_records": dt.datetime(2000, 1, 1, 23, 59, 59),
+    "churn_signals": dt.datetime(2024, 2, 14, 23, 59, 59),
+}
 SIGNALS_BEFORE = dt.datetime(2024, 1, 15)
 
 
@@ -192,12 +200,98 @@ def inactivity_audit(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(audit).drop("changed_day")
 
 
+def _revenue_feed(session: SparkSession, folder: str) -> DataFrame:
+    return orders.revenue_records(_feed(session, folder, "orders"))
+
+
 def stream_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
     session = run.stream_session(spark)
-    records = orders.revenue_records(_feed(session, folder, "orders"))
+    records = _revenue_feed(session, folder)
     totals = run.upsert_by(
         flows.monthly_revenue(records), "revenue_month", shared_folder(spark, "stream-monthly"))
-    return revenue.with_month_over_month(totals)
+    payers = flows.paying_customers(_payer_bits(spark, records))
+    both = totals.join(payers, "revenue_month", "left").withColumn(
+        "paying_customers", F.coalesce("paying_customers", F.lit(0)))
+    return revenue.with_month_over_month(both)
+
+
+def _payer_bits(spark: SparkSession, records: DataFrame) -> DataFrame:
+    return run.merge_to(
+        flows.payers(records), shared_folder(spark, "stream-payers"), flows.payer_bits,
+        flows.same_bits)
+
+
+def stream_quarter_payers(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct payers per quarter, merged from the bitmaps of the months."""
+    records = _revenue_feed(run.stream_session(spark), folder)
+    return flows.paying_customers(_payer_bits(spark, records), "quarter")
+
+
+def _audit(spark: SparkSession, session: SparkSession, folder: str) -> tuple[Model, DataFrame]:
+    """The model, and the audit table of all its changes up to ``AS_OF`` as a stream.
+
+    The feed comes in two files, with a row in three delivered again in the second.
+    """
+    m = orders.model(session, folder)
+    feed = shared_folder(spark, "history-feed")
+    found = history_feed.changes(m, orders.AS_OF)
+    found.write.parquet(f"{feed}/changes.parquet")
+    again = F.pmod(F.xxhash64("table_name", "record_id", "action"), F.lit(3)) == 0
+    found.where(again).write.mode("append").parquet(f"{feed}/changes.parquet")
+    changed = run.read_stream(session, feed, "changes", found.schema)
+    rows = flows.audit_changes(changed).withColumn(
+        "changed_month", F.trunc("changed_day", "MM")).drop("changed_day")
+    out = shared_folder(spark, "history-audit")
+    run.append_new_to(rows, out, "log_id", "changed_month")
+    return m, run.table_stream(session, out, rows.schema)
+
+
+def stream_pipeline_health(spark: SparkSession, folder: str) -> DataFrame:
+    """Pipeline health kept up to date by signed changes of deals."""
+    session = run.stream_session(spark)
+    m, feed = _audit(spark, session, folder)
+    sums = run.sum_to(
+        deltas.stage_sums(feed, m.deals.schema, orders.AS_OF),
+        shared_folder(spark, "stage-sums"), ["stage_id"])
+    return deltas.pipeline_health(m, sums)
+
+
+def stream_customer_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer segments kept up to date by signed changes of three tables."""
+    session = run.stream_session(spark)
+    m, feed = _audit(spark, session, folder)
+
+    def summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return run.sum_to(rows, shared_folder(spark, "segment-sums"), keys)
+
+    return deltas.customer_segments(
+        summed(deltas.customer_images(feed, m.customers.schema), deltas.ATTRIBUTES),
+        summed(deltas.deal_sums(feed, m.deals.schema, m), ["customer_id"]),
+        summed(deltas.revenue_sums(feed, m.revenue_records.schema), ["customer_id"]))
+
+
+def stream_cohort_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers by month of their first deal that is not deleted, from an index of days."""
+    session = run.stream_session(spark)
+    m, feed = _audit(spark, session, folder)
+    index = run.sum_to(
+        deltas.deal_days(feed, m.deals.schema),
+        shared_folder(spark, "deal-days"), ["customer_id", "deal_day"])
+    return deltas.cohort_sizes(index)
+
+
+def deal_stage_age(m: Model, as_of: dt.date) -> DataFrame:
+    """Stage and days in it at each activity, from the log of changes."""
+    return history.deal_stage_age(
+        m.activities, history_feed.deal_changes(m.deals), m.deals.schema)
+
+
+def _replayed(table: str) -> ModelQuery:
+    def query(m: Model, as_of: dt.date) -> DataFrame:
+        rows = m.tables()[table]
+        return history.replay(history_feed.changes(m), table, rows.schema, REPLAY_AT[table])
+
+    return query
 
 
 def stream_inactivity(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,10 +314,15 @@ def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
 OTHERS: dict[str, Query] = {
     f.__name__: f
     for f in (
-        scalar_json, mv_roundtrip, inactivity_audit, stream_audit, stream_monthly_revenue, stream_inactivity,
-        stream_activity_daily,
+        scalar_json, mv_roundtrip, inactivity_audit, stream_audit, stream_monthly_revenue,
+        stream_quarter_payers, stream_inactivity, stream_activity_daily, stream_pipeline_health,
+        stream_customer_segments, stream_cohort_sizes,
     )
 }
+HISTORY: dict[str, ModelQuery] = {
+    "deal_stage_age": deal_stage_age,
+    **{f"audit_replay_{table}": _replayed(table) for table in REPLAY_AT},
+}
 
 
 def _over_model(query: ModelQuery) -> Query:
@@ -235,6 +334,6 @@ def _over_files(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    named = {name: _over_model(q) for name, q in {**ANALYTICS, **PRIMITIVES}.items()}
+    named = {name: _over_model(q) for name, q in {**ANALYTICS, **PRIMITIVES, **HISTORY}.items()}
     named.update({name: _over_files(q) for name, q in OTHERS.items()})
     return named

@@ -91,8 +91,7 @@ def detect_inactivity(
         .where(idle > 30)
         .join(alerted, "deal_id", "left_anti")
         .select(
-            F.md5(F.concat_ws("|", F.lit("No Activity"), F.col("deal_id").cast("string"),
-                              F.lit(as_of.isoformat()))).alias("signal_id"),
+            stable_id(F.lit("No Activity"), F.col("deal_id"), F.lit(as_of)).alias("signal_id"),
             "customer_id",
             "deal_id",
             F.lit("No Activity").alias("signal_type"),

@@ -43,8 +43,8 @@ def customer_health(m: Model, as_of: dt.date, fan_out: bool = False) -> DataFram
     )
     deal_rows, touch_rows = _rows(F.col("deals")), _rows(F.col("total_activities"))
     signal_rows = _rows(F.col("signals"))
-    deal_times = touch_rows * signal_rows if fan_out else F.lit(1)
-    signal_times = deal_rows * touch_rows if fan_out else F.lit(1)
+    deal_times = _times(touch_rows, signal_rows) if fan_out else F.lit(1)
+    signal_times = _times(deal_rows, touch_rows) if fan_out else F.lit(1)
     idle = days_until(as_of, F.col("last_activity_at"))
     # (condition, score, status), first match wins
     ladder = [
@@ -71,9 +71,9 @@ def customer_health(m: Model, as_of: dt.date, fan_out: bool = False) -> DataFram
         F.col("last_activity_at").alias("last_activity_date"),
         idle.alias("days_since_activity"),
         zero(F.col("signals")).alias("total_churn_signals"),
-        (zero(F.col("critical")) * signal_times).alias("critical_signals"),
-        (zero(F.col("high")) * signal_times).alias("high_signals"),
-        (zero(F.col("open_signals")) * signal_times).alias("unresolved_signals"),
+        _times(zero(F.col("critical")), signal_times).alias("critical_signals"),
+        _times(zero(F.col("high")), signal_times).alias("high_signals"),
+        _times(zero(F.col("open_signals")), signal_times).alias("unresolved_signals"),
         score.otherwise(95).cast("decimal(5,2)").alias("health_score"),
         status.otherwise("Healthy").alias("health_status"),
     )
@@ -89,19 +89,24 @@ def customer_segments(m: Model, fan_out: bool = False) -> DataFrame:
         .join(deals, "customer_id", "left")
         .join(revenue, "customer_id", "left")
     )
+    return segments_of(base, fan_out)
+
+
+def segments_of(base: DataFrame, fan_out: bool = False) -> DataFrame:
+    """Segments from one row per customer: attributes, deal and revenue rollups."""
     one = F.lit(1)
     deal_times = _rows(F.col("records")) if fan_out else one
     revenue_times = _rows(F.col("deals")) if fan_out else one
-    row_times = deal_times * revenue_times
+    row_times = _times(deal_times, revenue_times)
     grouped = base.groupBy("customer_tier", "industry", "country").agg(
         F.count(one).alias("total_customers"),
         F.sum(zero(F.col("deals"))).alias("total_deals"),
         F.sum(_cash(F.col("won_value")) * deal_times).alias("total_revenue"),
-        F.sum(zero(F.col("won_deals")) * deal_times).alias("won"),
-        F.sum(zero(F.col("closed_deals")) * deal_times).alias("closed"),
-        F.sum(F.when(F.col("status") == "Churned", row_times).otherwise(0)).alias(
+        F.try_sum(_times(zero(F.col("won_deals")), deal_times)).alias("won"),
+        F.try_sum(_times(zero(F.col("closed_deals")), deal_times)).alias("closed"),
+        F.try_sum(F.when(F.col("status") == "Churned", row_times).otherwise(0)).alias(
             "churned_customers"),
-        F.sum(F.when(F.col("status") == "At-Risk", row_times).otherwise(0)).alias(
+        F.try_sum(F.when(F.col("status") == "At-Risk", row_times).otherwise(0)).alias(
             "at_risk_customers"),
         F.sum(F.col("mrr") * revenue_times).alias("total_mrr"),
         F.sum(F.col("arr") * revenue_times).alias("total_arr"),

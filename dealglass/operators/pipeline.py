@@ -47,9 +47,13 @@ def pipeline_summary(m: Model, as_of: dt.date) -> DataFrame:
 
 def pipeline_health(m: Model, as_of: dt.date) -> DataFrame:
     """Pipeline summary plus active deals per deal source."""
+    return health_of_stages(_active_stage_measures(m, as_of))
+
+
+def health_of_stages(measures: DataFrame) -> DataFrame:
+    """Pipeline health from the measures of each stage's active deals."""
     return (
-        _active_stage_measures(m, as_of)
-        .select(
+        measures.select(
             "stage_name",
             "stage_order",
             "probability",

@@ -77,5 +77,8 @@ def append(
             held = held.join(rows.select(*by).distinct(), by, "left_semi")
         same = reduce(and_, [new[c].eqNullSafe(held[c]) for c in key])
         new = new.join(held, same, "left_anti")
-    writer = new.select(*rows.columns).write.mode("append")
+    new = new.select(*rows.columns)
+    if by:  # a partition's rows come to few tasks; a large one is split among several
+        new = new.hint("rebalance", *by)
+    writer = new.write.mode("append")
     (writer.partitionBy(*by) if by else writer).parquet(path)

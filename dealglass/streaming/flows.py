@@ -61,6 +61,36 @@ def monthly_revenue(records: DataFrame) -> DataFrame:
     )
 
 
+def payers(records: DataFrame) -> DataFrame:
+    """Month of each payment, and the payer as a bit of a bitmap of 32,768 customers.
+
+    Customers are whole numbers.  Merge it with ``payer_bits`` and ``same_bits``.
+    """
+    customer = F.col("customer_id").cast("bigint")
+    return records.where(customer.isNotNull()).select(
+        month(F.col("revenue_date")).alias("revenue_month"),
+        F.bitmap_bucket_number(customer).alias("bucket"),
+        F.bitmap_bit_position(customer).alias("bit"))
+
+
+def payer_bits(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("revenue_month", "bucket").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def same_bits(rows: DataFrame) -> DataFrame:
+    """Bitmaps of a month and bucket as one; a payment that comes twice sets the same bit."""
+    return rows.groupBy("revenue_month", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def paying_customers(bits: DataFrame, unit: str = "month") -> DataFrame:
+    """Distinct payers per month, quarter or year, exact, from the bitmaps of the months."""
+    period = F.to_date(F.date_trunc(unit, "revenue_month")).alias(f"revenue_{unit}")
+    whole = bits.groupBy(period, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return whole.groupBy(f"revenue_{unit}").agg(
+        F.sum(F.bitmap_count("bits")).alias("paying_customers"))
+
+
 def guarded(signals: DataFrame, deals: DataFrame, churn_signals: DataFrame) -> DataFrame:
     """Inactivity signals of known deals without an open one, with their customer.
 

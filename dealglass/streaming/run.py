@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from dealglass.sources.tables import append
 
@@ -24,6 +25,10 @@ STREAM_SETTINGS = {
 }
 
 
+COMPACT_AFTER = 16  # batches that are stored apart at most, at the end of a run
+Merge = Callable[[DataFrame], DataFrame]
+
+
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session on the same cluster with the streaming options; the caller's stays as is."""
     session = spark.newSession()
@@ -110,17 +115,21 @@ def append_new_to(stream: DataFrame, folder: str, key: str, partition: str) -> D
     or a row is delivered again in a later one.
     """
     path = f"{folder}/data"
-    query = (
-        stream.writeStream.outputMode("append")
-        .foreachBatch(lambda batch, _: append(batch, path, [key], [partition]))
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        batch = batch.persist()  # read for the partitions it touches, then for its rows
+        append(batch, path, [key], [partition])
+        batch.unpersist()
+
+    each_batch(stream, write, folder)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def table_stream(session: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The table that ``append_new_to`` keeps in ``folder``, as a stream: each key once."""
+    return session.readStream.schema(schema).parquet(f"{folder}/data")
+
+
 def upsert_by(stream: DataFrame, key: str, folder: str) -> DataFrame:
     """Runs an aggregating stream whose changed groups replace their partition.
 
@@ -139,32 +148,65 @@ def upsert_by(stream: DataFrame, key: str, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def sum_to(stream: DataFrame, folder: str, keys: list[str]) -> DataFrame:
-    """Runs a stream of keys and numbers; returns the sums per key over all batches.
-
-    A batch stores its own sums in the folder of its number, which a repeated batch
-    replaces. There is no state and no watermark: a row of any age counts, so the
-    result does not depend on how the input was cut into batches.
+def merge_to(
+    stream: DataFrame, folder: str, first: Merge, again: Merge, compact_after: int = COMPACT_AFTER
+) -> DataFrame:
+    """Runs a stream whose batches are merged by key; returns the merged rows of all batches.
+
+    ``first`` groups the rows of a batch, ``again`` merges rows so grouped, in any order and
+    any number.  A batch stores its groups in the folder of its number, which a repeated batch
+    replaces.  There is no state and no watermark: a row of any age counts, so the result does
+    not depend on how the input was cut into batches.  After ``compact_after`` batches what is
+    stored is merged into one table, from which later runs go on, so what a run reads is the
+    result and a bounded number of batches, not all that ever came.
     """
-    path = f"{folder}/data"
+    session = stream.sparkSession
+    schema = first(stream).schema
+
+    def held(name: str, columns: StructType) -> DataFrame | None:
+        try:
+            return session.read.schema(columns).parquet(f"{folder}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        return None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        first(batch).write.mode("overwrite").parquet(f"{folder}/data/batch={batch_id}")
+
+    each_batch(stream, write, folder)
+    # A base counts once its mark is written, which is the last step of making it.
+    marks = held("marks", StructType().add("upto", LongType()))
+    upto = -1 if marks is None else marks.agg(F.max("upto")).first()[0]
+    batches = held("data", StructType([*schema.fields]).add("batch", LongType()))
+    if batches is None:
+        return again(session.createDataFrame([], schema))
+    fresh = batches.where(F.col("batch") > upto)
+    parts = fresh.drop("batch")
+    if upto >= 0:
+        parts = parts.unionByName(session.read.schema(schema).parquet(f"{folder}/base/upto={upto}"))
+    merged = again(parts)
+    numbers = fresh.agg(F.max("batch"), F.count_distinct("batch")).first()
+    if numbers[1] >= compact_after:
+        to_schema = merged.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        base = f"{folder}/base/upto={numbers[0]}"
+        to_schema.write.mode("overwrite").parquet(base)
+        session.createDataFrame([(numbers[0],)], "upto bigint").write.mode("append").parquet(
+            f"{folder}/marks")
+        merged = again(session.read.schema(schema).parquet(base))
+    return merged
+
+
+def sum_to(
+    stream: DataFrame, folder: str, keys: list[str], compact_after: int = COMPACT_AFTER
+) -> DataFrame:
+    """Runs a stream of keys and numbers; returns the sums per key over all batches."""
     numbers = [c for c in stream.columns if c not in keys]
 
     def summed(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numbers])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        summed(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    query = (
-        stream.writeStream.outputMode("append")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    stored = stream.sparkSession.read.schema(summed(stream).schema).parquet(path)
-    return summed(stored.select(*keys, *numbers))
+    return merge_to(stream, folder, summed, summed, compact_after)
 
 
 def _replace_partitions(key: str, path: str) -> Callable[[DataFrame, int], None]:
