@@ -588,6 +588,21 @@ SQL["cohort_table"] = f"""WITH firsts AS (SELECT customer_id, deal_source FROM d
     {pct(n_if("status = 'Churned'"), "count(*)")} AS churn_rate,
     {pct(n_if("grew"), "count(*)")} AS expansion_rate FROM long GROUP BY fam, member"""
 
+SQL["cohort_table_thirds"] = SQL["cohort_table"].replace(
+    """CASE WHEN bal_c >= 700000 THEN 'High'
+        WHEN bal_c >= 300000 THEN 'Mid' ELSE 'Low' END""", "['Low', 'Mid', 'High'][third]").replace(
+    "base AS (SELECT cust.*,", """base AS (SELECT cust.*,
+      ntile(3) OVER (ORDER BY bal_c NULLS FIRST, cust.customer_id) AS third,""")
+SQL["customer_tiles"] = f"""WITH t AS (SELECT customer_id, company_name, customer_tier, status,
+      coalesce(d.won_c, 0) AS w, {C_IDLE} AS idle {CUSTOMER_ROWS}),
+    k AS (SELECT *, ntile(3) OVER (ORDER BY w, customer_id) AS v,
+      ntile(3) OVER (ORDER BY idle DESC NULLS FIRST, customer_id) AS r FROM t)
+    SELECT customer_id, company_name, customer_tier, {usd("w")} AS total_revenue,
+    {big("idle")} AS days_since_activity, {big("v")} AS value_tile, {big("r")} AS recency_tile,
+    CASE WHEN status = 'Churned' THEN 'Lost' WHEN w = 0 THEN 'Prospect'
+         WHEN v = 3 AND r = 3 THEN 'Champion' WHEN v = 3 THEN 'Win Back' WHEN r = 3 THEN 'Developing'
+         WHEN r = 1 THEN 'Dormant' ELSE 'Growth' END AS segment FROM k"""
+
 MISSING = """pairs AS (SELECT o.customer_id, count(*) AS miss_n, sum(price_c) AS miss_c
       FROM (SELECT DISTINCT customer_id FROM owned) o CROSS JOIN prod
       WHERE on_sale AND NOT EXISTS (SELECT 1 FROM owned x

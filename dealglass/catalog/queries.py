@@ -83,7 +83,9 @@ ANALYTICS: dict[str, ModelQuery] = {
     "owned_products": lambda m, d: upsell.owned_products(m),
     "revenue_anomalies": lambda m, d: revenue.revenue_anomalies(m),
     "customer_segmentation": customers.customer_segmentation,
-    "cohort_table": lambda m, d: cohorts.cohort_table(m, *BANDS),
+    "cohort_table": lambda m, d: cohorts.cohort_table(m, BANDS),
+    "cohort_table_thirds": lambda m, d: cohorts.cohort_table(m),
+    "customer_tiles": customers.customer_tiles,
     "forecast_accuracy": lambda m, d: revenue.forecast_accuracy(m),
     "derive_mrr_arr": lambda m, d: m.revenue_records.select(
         "revenue_id", "billing_period", "amount", "mrr_contribution", "arr_contribution"),

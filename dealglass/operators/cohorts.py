@@ -11,6 +11,7 @@ from dealglass.functions import labels
 from dealglass.functions.columns import count_where, day, mean, month, percent, zero
 from dealglass.model import Model
 from dealglass.plans import rollups
+from dealglass.plans.quantiles import ntile
 
 
 def cohort_analysis(m: Model) -> DataFrame:
@@ -56,13 +57,33 @@ def cohort_analysis(m: Model) -> DataFrame:
     )
 
 
-def cohort_table(m: Model, low_revenue: int, high_revenue: int) -> DataFrame:
+BANDS = ["Low", "Mid", "High"]  # thirds of the customers by annual revenue
+
+
+def revenue_bands(m: Model) -> DataFrame:
+    """Per customer the third by annual revenue; none is least, equal revenues go by id."""
+    order = [F.asc_nulls_first("annual_revenue"), F.asc("customer_id")]
+    tiled = ntile(m.customers.select("customer_id", "annual_revenue"), 3, order, "tile")
+    return tiled.select(
+        "customer_id", F.element_at(F.lit(BANDS), F.col("tile")).alias("band"))
+
+
+def _banded(m: Model, customers: DataFrame, bands: tuple[int, int] | None) -> DataFrame:
+    if bands is None:
+        return customers.join(revenue_bands(m), "customer_id")
+    low, high = bands
+    revenue = F.col("annual_revenue")
+    return customers.withColumn("band", F.when(revenue >= high, "High").when(
+        revenue >= low, "Mid").otherwise("Low"))
+
+
+def cohort_table(m: Model, bands: tuple[int, int] | None = None) -> DataFrame:
     """Six cohort families in one pass over customers.
 
     Families: acquisition month, industry, tier, source of the first deal,
-    annual-revenue band (limits are arguments) and geography (``region`` when
-    the customer table has it, else country).  A customer counts as expanded
-    with any Expansion revenue.
+    annual-revenue band (thirds of the customers, or by limits) and geography
+    (``region`` when the customer table has it, else country).  A customer counts
+    as expanded with any Expansion revenue.
     """
     place = "region" if "region" in m.customers.columns else "country"
     deals = (
@@ -79,6 +100,7 @@ def cohort_table(m: Model, low_revenue: int, high_revenue: int) -> DataFrame:
         m.customers.select(
             "customer_id", "industry", "customer_tier", "annual_revenue", "status",
             F.col(place).alias("place"))
+        .transform(lambda rows: _banded(m, rows, bands))
         .join(deals, "customer_id", "left")
         .join(revenue, "customer_id", "left")
         .select(
@@ -86,9 +108,7 @@ def cohort_table(m: Model, low_revenue: int, high_revenue: int) -> DataFrame:
             F.col("industry").alias("Industry"),
             F.col("customer_tier").alias("Customer Tier"),
             F.col("first.deal_source").alias("Deal Source"),
-            F.when(F.col("annual_revenue") >= high_revenue, "High")
-            .when(F.col("annual_revenue") >= low_revenue, "Mid")
-            .otherwise("Low").alias("Revenue Band"),
+            F.col("band").alias("Revenue Band"),
             F.col("place").alias("Geography"),
             F.coalesce("won_value", F.lit(0).cast("decimal(15,2)")).alias("won_value"),
             (F.col("status") == "Churned").alias("churned"),

@@ -18,6 +18,7 @@ from dealglass.functions import labels
 from dealglass.functions.columns import days_until, dec, half_up, mean, percent, zero
 from dealglass.model import Model
 from dealglass.plans import rollups
+from dealglass.plans.quantiles import ntile
 
 
 def _cash(col: Column) -> Column:
@@ -277,3 +278,33 @@ def customer_segmentation(
         band.alias("value_band"),
         segment.alias("segment"),
     )
+
+
+def customer_tiles(m: Model, as_of: dt.date, tiles: int = 3) -> DataFrame:
+    """Per customer: exact tiles by won revenue and by recency, and a segment of both.
+
+    Tile 1 is the least revenue and the longest silence; customers without an activity
+    come first.  Equal values go by customer id.
+    """
+    base = rollups.join_book(
+        m.customers.select("customer_id", "company_name", "customer_tier", "status"), m)
+    base = base.select(
+        "customer_id", "company_name", "customer_tier", "status",
+        _cash(F.col("won_value")).alias("total_revenue"),
+        days_until(as_of, F.col("last_activity_at")).alias("days_since_activity"))
+    by_value = ntile(base, tiles, [F.asc("total_revenue"), F.asc("customer_id")], "value_tile")
+    silence = [F.desc_nulls_first("days_since_activity"), F.asc("customer_id")]
+    both = ntile(by_value, tiles, silence, "recency_tile")
+    best, recent = F.col("value_tile") == tiles, F.col("recency_tile") == tiles
+    segment = (
+        F.when(F.col("status") == "Churned", "Lost")
+        .when(F.col("total_revenue") == 0, "Prospect")
+        .when(best & recent, "Champion")
+        .when(best, "Win Back")
+        .when(recent, "Developing")
+        .when(F.col("recency_tile") == 1, "Dormant")
+        .otherwise("Growth")
+    )
+    return both.select(
+        "customer_id", "company_name", "customer_tier", "total_revenue", "days_since_activity",
+        "value_tile", "recency_tile", segment.alias("segment"))

@@ -128,7 +128,7 @@ def test_cohorts_keep_customers_without_deals(small):
 
 
 def test_cohort_families_each_cover_all_customers(small):
-    rows = cohorts.cohort_table(small, 3000, 7000).collect()
+    rows = cohorts.cohort_table(small, (3000, 7000)).collect()
     totals = {}
     for r in rows:
         totals[r["cohort_type"]] = totals.get(r["cohort_type"], 0) + r["total_customers"]
