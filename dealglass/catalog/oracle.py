@@ -691,24 +691,26 @@ def rule_row(table: str, column: str, rule: str, source: str, bad: str) -> str:
             f"{n()} AS rows_checked, {big(n_if(bad))} AS violations FROM {source}")
 
 
+DOMAIN_AT = {
+    ("customers", "customer_tier"): ("cust", "customer_tier"),
+    ("customers", "status"): ("cust", "status"),
+    ("deals", "deal_source"): ("deal", "deal_source"),
+    ("products", "billing_type"): ("prod", "billing"),
+    ("activities", "activity_type"): ("act", "kind"),
+    ("activities", "outcome"): ("act", "outcome"),
+    ("revenue_records", "revenue_type"): ("rev", "kind"),
+    ("revenue_records", "billing_period"): ("rev", "period"),
+    ("revenue_records", "payment_status"): ("rev", "paid"),
+    ("churn_signals", "signal_type"): ("sig", "kind"),
+    ("churn_signals", "severity"): ("sig", "severity"),
+}
+
+
 def _domain_rules() -> str:
-    where = {
-        ("customers", "customer_tier"): ("cust", "customer_tier"),
-        ("customers", "status"): ("cust", "status"),
-        ("deals", "deal_source"): ("deal", "deal_source"),
-        ("products", "billing_type"): ("prod", "billing"),
-        ("activities", "activity_type"): ("act", "kind"),
-        ("activities", "outcome"): ("act", "outcome"),
-        ("revenue_records", "revenue_type"): ("rev", "kind"),
-        ("revenue_records", "billing_period"): ("rev", "period"),
-        ("revenue_records", "payment_status"): ("rev", "paid"),
-        ("churn_signals", "signal_type"): ("sig", "kind"),
-        ("churn_signals", "severity"): ("sig", "severity"),
-    }
     return " UNION ALL ".join(
         rule_row(t, c, "domain", src,
                  f"{col} NOT IN ({', '.join(repr(v) for v in DOMAINS[t, c])})")
-        for (t, c), (src, col) in where.items())
+        for (t, c), (src, col) in DOMAIN_AT.items())
 
 
 SQL["dq_domain"] = _domain_rules()
@@ -997,6 +999,37 @@ def deals_on(day: str) -> str:
       AND NOT coalesce({PURGED.format(day=day)}, false)"""
 
 
+def rejected(table: str, source: str, key: str, rules: list[tuple[str, str]]) -> str:
+    """Rows of a table that break a rule, with the rules; a rule is a text and what breaks it."""
+    domains = [(f"{c}: domain", f"{col} NOT IN ({', '.join(repr(v) for v in DOMAINS[t, c])})")
+               for (t, c), (_, col) in DOMAIN_AT.items() if t == table]
+    said = ", ".join(f"CASE WHEN {bad} THEN '{rule}' END" for rule, bad in [*domains, *rules])
+    return f"""SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS record_id,
+      list_filter([{said}], lambda x: x IS NOT NULL) AS said FROM {source}"""
+
+
+JUDGED = " UNION ALL ".join([
+    rejected("customers", "cust", "customer_id", [("annual_revenue: annual_revenue >= 0", "bal_c < 0")]),
+    rejected("deals", "deal", "deal_id", [("deal_value: deal_value > 0", "val_c <= 0"),
+                                          ("days_in_stage: days_in_stage <= 60", "age > 60")]),
+    rejected("products", "prod", "product_id", [("unit_price: unit_price > 0", "price_c <= 0")]),
+    rejected("revenue_records", "rev", "revenue_id", [("amount: amount > 0", "amt_c <= 0")]),
+    rejected("churn_signals", "sig", "signal_id", []),
+])
+SQL["dq_rejects"] = f"""SELECT table_name, record_id, array_to_string(said, '; ') AS reasons
+    FROM ({JUDGED}) WHERE len(said) > 0"""
+SQL["dq_split"] = f"""SELECT table_name, {n()} AS rows_read, {big(n_if("len(said) = 0"))} AS good_rows,
+    {big(n_if("len(said) > 0"))} AS rejected_rows FROM ({JUDGED}) GROUP BY table_name"""
+SQL["stream_pending_signals"] = """SELECT signal_id, deal_id, CASE WHEN EXISTS (SELECT 1 FROM deal
+      WHERE deal.deal_id = sig.deal_id) THEN 'resolved' ELSE 'orphan' END AS state FROM sig"""
+SQL["stream_daily_windows"] = f"""WITH p AS (SELECT *, deal_id % 3 AS part FROM act),
+    seen AS (SELECT part, max(max(on_day)) OVER (ORDER BY part
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM p GROUP BY part)
+    SELECT {text("on_day")} AS activity_day, kind AS activity_type,
+    {big(n_if("NOT late"))} AS on_time, {big(n_if("late"))} AS late
+    FROM (SELECT *, coalesce(on_day + 1 <= newest - 1, false) AS late FROM p JOIN seen USING (part))
+    GROUP BY ALL"""
+
 REPLAY_DAY = "DATE '2000-01-01'"
 SQL["audit_replay_customers"] = SQL["scan_customers"]
 SQL["audit_replay_deals"] = f"""SELECT deal_id, customer_id, {big("stage_id")} AS stage_id, deal_name,

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealglass.catalog import primitives
-from dealglass.model import Model
+from dealglass.model import UNIQUE_KEYS, Model
 from dealglass.operators import (
-    changes, cohorts, customers, history, pipeline, quality, reps, revenue, upsell)
+    changes, cohorts, customers, history, pipeline, quality, rejects, reps, revenue, upsell)
 from dealglass.session import shared_folder
 from dealglass.sources import history as history_feed
 from dealglass.sources import orders, tables
-from dealglass.streaming import deltas, flows, idle, run
+from dealglass.streaming import deltas, flows, idle, pending, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 ModelQuery = Callable[[Model, dt.date], DataFrame]
@@ -313,16 +313,89 @@ def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
     return flows.closed_days(per_day)
 
 
+def stream_daily_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Activities per day and type in three batches: those on time, and those that were late."""
+    session = run.stream_session(spark)
+    feed = shared_folder(spark, "thirds")
+    lines = orders.read(spark, folder, "lineitem")
+    for third in range(3):  # one after the other: the order in which they are read
+        part = lines.where(F.pmod("l_orderkey", F.lit(3)) == third)
+        part.coalesce(1).write.mode("append").parquet(f"{feed}/lineitem.parquet")
+    stream = run.read_stream(session, feed, "lineitem", orders.FILE_SCHEMAS["lineitem"], 1)
+    keys = ["activity_day", "activity_type"]
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum("activities").alias("on_time"))
+
+    def again(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum("on_time").alias("on_time"))
+
+    merged, late = run.merge_on_time(
+        flows.typed(orders.activities(stream)), shared_folder(spark, "daily-windows"),
+        "activity_day", summed, again)
+    too_late = late.groupBy(*keys).agg(F.sum("activities").alias("late"))
+    both = merged.join(too_late, keys, "full_outer")
+    return both.select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("on_time", "late")])
+
+
+def stream_pending_signals(spark: SparkSession, folder: str) -> DataFrame:
+    """Signals that come before half of the deals: resolved later, or reported without a deal."""
+    session = run.stream_session(spark)
+    m = orders.model(session, folder)
+    signals = orders.churn_signals(_feed(session, folder, "events"))
+    out = shared_folder(spark, "pending")
+    pending.resolve(signals, lambda: m.deals.where("deal_id % 2 = 0"), out, "deal_id")
+    for _ in range(pending.PATIENCE - 1):
+        found = pending.settle(session, signals.schema, lambda: m.deals, out, "deal_id")
+    return found.resolved.select("signal_id", "deal_id", F.lit("resolved").alias("state")).unionByName(
+        found.orphans.select("signal_id", "deal_id", F.lit("orphan").alias("state")))
+
+
+MORE_RANGES = {
+    ("customers", "annual_revenue"): "annual_revenue >= 0",
+    ("deals", "days_in_stage"): "days_in_stage <= 60",
+}
+SPLIT = ["customers", "deals", "products", "revenue_records", "churn_signals"]
+
+
+def _splits(m: Model) -> dict[str, rejects.Split]:
+    folder = shared_folder(m.deals.sparkSession, "split")
+    return {t: rejects.split(m.tables()[t], t, f"{folder}/{t}", MORE_RANGES) for t in SPLIT}
+
+
+def dq_rejects(m: Model, as_of: dt.date) -> DataFrame:
+    """Rejected rows of five tables by their key, with the rules they break."""
+    return functools.reduce(DataFrame.unionByName, [
+        found.rejected.select(
+            F.lit(table).alias("table_name"),
+            F.col(UNIQUE_KEYS[table][0][0]).cast("string").alias("record_id"),
+            F.array_join("reasons", "; ").alias("reasons"))
+        for table, found in _splits(m).items()])
+
+
+def dq_split(m: Model, as_of: dt.date) -> DataFrame:
+    """Rows read, good and rejected per table: read and rejected as observed, good as stored."""
+    return functools.reduce(DataFrame.unionByName, [
+        found.good.agg(
+            F.lit(table).alias("table_name"), F.lit(found.rows).alias("rows_read"),
+            F.count(F.lit(1)).alias("good_rows"),
+            F.lit(found.rejected_rows).alias("rejected_rows"))
+        for table, found in _splits(m).items()])
+
+
 OTHERS: dict[str, Query] = {
     f.__name__: f
     for f in (
         scalar_json, mv_roundtrip, inactivity_audit, stream_audit, stream_monthly_revenue,
         stream_quarter_payers, stream_inactivity, stream_activity_daily, stream_pipeline_health,
-        stream_customer_segments, stream_cohort_sizes,
+        stream_customer_segments, stream_cohort_sizes, stream_daily_windows,
+        stream_pending_signals,
     )
 }
 HISTORY: dict[str, ModelQuery] = {
     "deal_stage_age": deal_stage_age,
+    "dq_rejects": dq_rejects,
+    "dq_split": dq_split,
     **{f"audit_replay_{table}": _replayed(table) for table in REPLAY_AT},
 }
 

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import DateType, LongType, StructType
 
 from dealglass.sources.tables import append
 
@@ -149,7 +149,8 @@ def upsert_by(stream: DataFrame, key: str, folder: str) -> DataFrame:
 
 
 def merge_to(
-    stream: DataFrame, folder: str, first: Merge, again: Merge, compact_after: int = COMPACT_AFTER
+    stream: DataFrame, folder: str, first: Merge, again: Merge, compact_after: int = COMPACT_AFTER,
+    sift: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
     """Runs a stream whose batches are merged by key; returns the merged rows of all batches.
 
@@ -158,7 +159,8 @@ def merge_to(
     replaces.  There is no state and no watermark: a row of any age counts, so the result does
     not depend on how the input was cut into batches.  After ``compact_after`` batches what is
     stored is merged into one table, from which later runs go on, so what a run reads is the
-    result and a bounded number of batches, not all that ever came.
+    result and a bounded number of batches, not all that ever came.  ``sift`` may take rows
+    out of a batch before it is grouped.
     """
     session = stream.sparkSession
     schema = first(stream).schema
@@ -172,7 +174,8 @@ def merge_to(
         return None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        first(batch).write.mode("overwrite").parquet(f"{folder}/data/batch={batch_id}")
+        rows = batch if sift is None else sift(batch, batch_id)
+        first(rows).write.mode("overwrite").parquet(f"{folder}/data/batch={batch_id}")
 
     each_batch(stream, write, folder)
     # A base counts once its mark is written, which is the last step of making it.
@@ -209,6 +212,42 @@ def sum_to(
     return merge_to(stream, folder, summed, summed, compact_after)
 
 
+def merge_on_time(
+    stream: DataFrame, folder: str, day: str, first: Merge, again: Merge, delay_days: int = 1,
+    compact_after: int = COMPACT_AFTER,
+) -> tuple[DataFrame, DataFrame]:
+    """As ``merge_to`` for windows of a day; returns the merged rows and the rows that were late.
+
+    A row is late if its day had ended ``delay_days`` before the newest day of the batches
+    before its own.  Late rows are kept as they came, so on time and late make up the input.
+    Rows without a day are on time.
+    """
+    session = stream.sparkSession
+    marks = StructType().add("newest", DateType()).add("batch", LongType())
+    late_schema = StructType([*stream.schema.fields]).add("batch", LongType())
+
+    def sift(batch: DataFrame, batch_id: int) -> DataFrame:
+        newest = None
+        if batch_id:
+            held = session.read.schema(marks).parquet(f"{folder}/newest")
+            newest = held.where(F.col("batch") < batch_id).agg(F.max("newest")).first()[0]
+        over = F.date_add(F.col(day), 1) <= F.date_sub(F.lit(newest).cast("date"), delay_days)
+        late = F.coalesce(over, F.lit(False))
+        batch.where(late).write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
+        batch.agg(F.max(day).alias("newest")).write.mode("overwrite").parquet(
+            f"{folder}/newest/batch={batch_id}")
+        return batch.where(~late)
+
+    merged = merge_to(stream, folder, first, again, compact_after, sift)
+    try:
+        rows = session.read.schema(late_schema).parquet(f"{folder}/late").drop("batch")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = session.createDataFrame([], stream.schema)
+    return merged, rows
+
+
 def _replace_partitions(key: str, path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, _batch_id: int) -> None:
         (
