@@ -17,16 +17,23 @@ Attributes are read by the states of HTML: a quote opens a value only right afte
 "=", any other is part of a name or value; a quoted value without an end takes the
 rest of the page, as in a browser.
 
+Cells that span columns or rows take their place in the grid of the table: what follows
+them stands under its own column.
+
 All visible text is kept: navigation and footers too, and text of pages cut off
-in the middle. Elements nested deeper than ``MAX_DEPTH`` add their text but no
-layout. A null page gives null, a page without visible text an empty text.
-Rows, repeated ones included, and their other columns pass through unchanged.
+in the middle. Elements nested deeper than ``MAX_DEPTH`` add their text, blocks on
+lines of their own, but no other layout; they are opened and closed like others, so what is
+hidden stays so. A null page
+gives null, a page without visible text an empty text. Rows, repeated ones included, and
+their other columns pass through unchanged; ``visible_text`` replaces a column of that name.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,7 +41,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_DEPTH = 256
+MAX_DEPTH = 256  # of layout
+MAX_COLUMNS, MAX_ROWS = 1000, 65534  # that a cell spans, as in HTML
+Cell = tuple[list[str], int, int]  # lines, columns, rows
 # Fixed values of HTML: elements by how they are laid out or closed.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
@@ -97,7 +106,7 @@ class Element:
     """An open element: text of the line being written, and finished lines."""
 
     __slots__ = ("tag", "run", "lines", "lead", "gap", "number", "rows", "seen", "pre", "foreign",
-                 "parts")
+                 "parts", "span", "deep", "count")
 
     def __init__(self, tag: str, seen: bool, pre: bool, number: int | None = None,
                  foreign: bool = False):
@@ -108,7 +117,34 @@ class Element:
         self.lines: list[str] = []
         self.lead = False  # a blank line is due before the first line
         self.gap = False  # and before the next line
-        self.rows: list[list[list[str]]] = []  # of a table: rows of cells of lines
+        self.rows: list[list[Cell]] = []  # of a table
+        self.span = (1, 1)  # columns and rows of a cell
+        self.deep: list[str] = []  # elements open within this one beyond the depth of layout
+        self.count: Counter[str] = Counter()  # of those, by tag
+
+    def open_deep(self, tag: str) -> None:
+        self.deep.append(tag)
+        self.count[tag] += 1
+        if tag in BLOCK or tag in TABLE_PARTS:
+            self.end_line()
+
+    def find_deep(self, tags, bounds) -> int | None:
+        """Place of the nearest deep element of ``tags``; -1 if one of ``bounds`` is nearer."""
+        if not any(self.count[t] for t in tags):
+            return -1 if any(self.count[t] for t in bounds) else None
+        for k in range(len(self.deep) - 1, -1, -1):
+            if self.deep[k] in tags:
+                return k
+            if self.deep[k] in bounds:
+                return -1
+        return None
+
+    def close_deep(self, place: int) -> None:
+        closed = self.deep[place:]
+        del self.deep[place:]
+        self.count.subtract(closed)
+        if not (BLOCK.isdisjoint(closed) and TABLE_PARTS.isdisjoint(closed)):
+            self.end_line()
 
     def end_line(self, forced: bool = False) -> None:
         text = "".join(self.run)
@@ -152,20 +188,58 @@ def _hidden(tag: str, attributes: dict[str, str], foreign: bool = False) -> bool
         or bool(HIDING.search(attributes.get("style", ""))))
 
 
-def _table(rows: list[list[list[str]]]) -> list[str]:
-    """Rows of cells as lines, columns as wide as their widest line."""
-    widths: list[int] = []
+def _spans(attributes: dict[str, str]) -> tuple[int, int]:
+    """Columns and rows of a cell, within the limits of HTML; 0 rows are all that follow."""
+    def number(name: str, most: int) -> int:
+        text = re.match(r"[ \t\n\r\f]*\+?(\d{1,9})", attributes.get(name, ""))
+        return min(int(text[1]), most) if text else 1
+
+    return max(number("colspan", MAX_COLUMNS), 1), number("rowspan", MAX_ROWS) or MAX_ROWS
+
+
+def _grid(rows: list[list[Cell]]) -> list[list[tuple[int, int, list[str]]]]:
+    """First and last column and lines of the cells, row by row.
+
+    Columns are those at which a cell begins; others have no width of their own.
+    """
+    placed: list[list[tuple[int, int, list[str]]]] = []
+    taken: dict[int, int] = {}  # columns that cells of earlier rows reach into, rows left
     for row in rows:
-        for i, cell in enumerate(row):
-            width = max(map(len, cell), default=0)
-            if i == len(widths):
-                widths.append(width)
-            widths[i] = max(widths[i], width)
+        at, line, more = 0, [], {}
+        for lines, columns, down in row:
+            while taken.get(at, 0) > 0:
+                at += 1
+            line.append((at, at + columns, lines))
+            if down > 1:
+                more.update(dict.fromkeys(range(at, at + columns), down))
+            at += columns
+        placed.append(line)
+        taken = {c: n - 1 for c, n in {**taken, **more}.items() if n > 1}
+    begins = sorted({begin for line in placed for begin, _, _ in line})
+    return [[(bisect_left(begins, begin), bisect_left(begins, end) - 1, lines)
+             for begin, end, lines in line] for line in placed]
+
+
+def _table(rows: list[list[Cell]]) -> list[str]:
+    """Rows of cells as lines, columns as wide as their widest line."""
+    grid = _grid(rows)
+    widths = [0] * (1 + max((last for line in grid for _, last, _ in line), default=-1))
+    for spread in (False, True):  # cells of one column first; a wider one widens its last
+        for line in grid:
+            for first, last, lines in line:
+                if (last > first) == spread:
+                    wanted = max(map(len, lines), default=0) - 3 * (last - first)
+                    widths[last] += max(0, wanted - sum(widths[first:last + 1]))
     out = []
-    for row in rows:
-        for k in range(max((len(cell) for cell in row), default=0)):
-            parts = [(cell[k] if k < len(cell) else "").ljust(widths[i])
-                     for i, cell in enumerate(row)]
+    for line in grid:
+        for k in range(max((len(lines) for _, _, lines in line), default=0)):
+            parts: list[str] = []
+            column = 0
+            for first, last, lines in line:
+                parts += [" " * w for w in widths[column:first]]
+                width = sum(widths[first:last + 1]) + 3 * (last - first)
+                parts.append((lines[k] if k < len(lines) else "").ljust(width))
+                column = last + 1
             out.append(" | ".join(parts).rstrip())
     return out
 
@@ -199,6 +273,8 @@ class Page:
             deep = len(self.open) >= MAX_DEPTH and not _hidden(tag, attributes, True)
             if not ended and (not deep or tag in RAW):
                 self.push(tag, attributes, True)
+            elif not ended:
+                self.open[-1].open_deep(tag)
             return not ended
         if tag in CLOSES_P:
             self.close_within({"p"}, SCOPES)
@@ -229,6 +305,7 @@ class Page:
             if any(e.tag == tag for e in self.open):
                 return True
         if len(self.open) >= MAX_DEPTH and tag not in RAW | UNSEEN and not _hidden(tag, attributes):
+            self.open[-1].open_deep(tag)
             return True
         if tag in ("td", "th") and top.tag in ("table", "thead", "tbody", "tfoot"):
             self.push("tr", {})
@@ -248,10 +325,19 @@ class Page:
             top.end_line()
         pre = (top.pre or tag in ("pre", "textarea", "xmp")) and tag not in ("td", "th")
         self.open.append(Element(tag, seen, pre, number, foreign))
+        if tag in ("td", "th"):
+            self.open[-1].span = _spans(attributes)
 
     def close_within(self, tags: set[str], bounds) -> bool:
         """Closes the nearest open element of ``tags``, not looking beyond ``bounds``."""
-        for i in range(len(self.open) - 1, 0, -1):
+        for i in range(len(self.open) - 1, -1, -1):
+            place = self.open[i].find_deep(tags, bounds) if self.open[i].deep else None
+            if place is not None and place >= 0:
+                self.close_to(i + 1)
+                self.open[i].close_deep(place)
+                return True
+            if place is not None or i == 0:
+                return False
             if self.open[i].tag in tags:
                 self.close_to(i)
                 return True
@@ -264,7 +350,7 @@ class Page:
             tag = DRAWN_TEXT
         if tag == "br":
             self.start("br", "")
-        elif tag == "p" and not any(e.tag == "p" for e in self.open):
+        elif tag == "p" and not any(e.tag == "p" or e.count["p"] for e in self.open):
             self.open[-1].end_line()
         elif tag not in ("body", "html"):  # what follows them still belongs to the page
             bounds = () if tag in BLOCK or tag in TABLE_PARTS or tag == "table" else (
@@ -304,13 +390,13 @@ class Page:
             if into.tag == "tr":
                 if not into.rows:
                     into.rows.append([])
-                into.rows[0].append(lines)
+                into.rows[0].append((lines, *done.span))
             else:
                 into.put(lines)
         elif tag == "tr":
             cells = done.rows[0] if done.rows else []
             if lines:
-                cells = [*cells, lines]
+                cells = [*cells, (lines, 1, 1)]
             if into.tag in ("table", "thead", "tbody", "tfoot"):
                 into.rows.append(cells)
             else:
@@ -379,5 +465,4 @@ def visible_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
     """All rows and columns, and a column ``visible_text``."""
-    return pages.select(
-        "*", visible_text.asNondeterministic()(F.col(f"`{page}`")).alias("visible_text"))
+    return pages.withColumn("visible_text", visible_text.asNondeterministic()(F.col(f"`{page}`")))

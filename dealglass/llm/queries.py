@@ -58,7 +58,7 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
-    pages = html_text.extract(read(spark, folder, "pages"))
+    pages = html_text.extract(read(spark, folder, "pages").select("page_id", "url", "html"))
     return pages.select(
         "page_id", "url", F.col("visible_text").alias("text"),
         F.length("visible_text").cast("long").alias("n_chars"),

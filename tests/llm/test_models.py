@@ -315,7 +315,62 @@ def test_stray_quotes_and_drawings(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr><td colspan=2>wide cell<td>c<tr><td>a<td>b<td>d</table>",
+     "wide cell | c\na | b     | d"),
+    ("<table><tr><td rowspan=2>r<td>x<td>y<tr><td>xx<td>z</table>", "r | x  | y\n  | xx | z"),
+    ("<table><tr><td colspan=1000>all<tr><td>a<td>b</table>", "all\na | b"),
+    ("<table><tr><td rowspan=0>r<td>x<tr><td>y<tr><td>z</table>", "r | x\n  | y\n  | z"),
+    ("<table><tr><td colspan=x>a<td rowspan=-1>b<tr><td>c<td>d</table>", "a | b\nc | d"),
+    ("<table><tr><td>a<td>b<tr><td colspan=2>much longer than both</table>",
+     "a | b\nmuch longer than both"),
+    ("<table><tr><td>a<tr><tr><td colspan=2><td>c</table>", "a\n  | c"),
+])
+def test_cells_that_span(page, text):
+    assert html_text.render(page) == text
+
+
+class Tree:
+    """Text of a random tree of elements that are all closed, and whether it is seen."""
+
+    def __init__(self, rng, depth):
+        self.rng, self.words, self.n = rng, [], 0
+        self.page = self.element(depth, True)
+
+    def element(self, depth, seen):
+        tag = self.rng.choice(["div", "span", "section", "b", "em"])
+        hidden = self.rng.random() < 0.03
+        seen = seen and not hidden
+        parts = []
+        for _ in range(self.rng.choice([1, 1, 2])):
+            self.n += 1
+            parts.append(f" w{self.n} ")
+            if seen:
+                self.words.append(f"w{self.n}")
+        if depth:
+            middle = self.element(depth - 1, seen)
+            parts.insert(self.rng.randrange(len(parts) + 1), middle)
+        return f"<{tag}{' hidden' if hidden else ''}>{''.join(parts)}</{tag}>"
+
+
+@pytest.mark.parametrize("depth", [3, 200, 254, 255, 256, 257, 300, 400])
+def test_hidden_text_at_any_depth(depth):
+    import random
+    for k in range(6):
+        tree = Tree(random.Random(depth * 10 + k), depth)
+        page = f"<p>before</p>{tree.page}<p hidden>no</p><p>after</p>"
+        want = sorted(["before", *tree.words, "after"])
+        assert sorted(html_text.render(page).split()) == want
+    nested = "<div hidden>" + "<div>" * depth + "</div>" * depth + "<p>secret</p></div><p>seen</p>"
+    assert html_text.render(nested) == "seen"
+    within = "<div>" * depth + "<section hidden><div><p>secret<p>too</div>no</section>" + "x"
+    assert html_text.render(within) == "x"
+    unclosed = "<div hidden>" + "<ul><li>" * depth + "no</div>yes"
+    assert html_text.render(unclosed) == "yes"
+
+
 def test_long_tags_take_linear_time():
+    assert html_text.render("<div>" * 100_000 + "<p>x</p>" * 1000).split() == ["x"] * 1000
     page = "<p " + "a='" * 100_000 + "<b \"x" * 100_000 + "<a =" * 100_000
     assert html_text.render(page) == ""
     assert html_text.render("<svg>" + "<g>" * 50_000 + "deep") == "deep"
@@ -333,6 +388,12 @@ def test_odd_pages(spark):
     assert html_text.extract(rows.limit(0)).count() == 0
 
 
+def test_a_column_of_the_same_name_is_replaced(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "<p>a", "old")], "id int, html string, Visible_Text string")
+    html_text.extract(rows).write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).first()[2] == "a"
+
+
 # ------------------------------------------------------------------- packing
 
 def naive_best_fit(items, capacity):
