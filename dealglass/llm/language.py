@@ -208,9 +208,9 @@ def detector(docs: DataFrame, langs: list[str], model: np.ndarray):
 def predict(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """All rows and columns, and a struct column ``language`` of ``MIXTURE``."""
+    """All rows and columns, and a struct ``language`` of ``MIXTURE``, which replaces one so named."""
     detect = detector(docs, *learn(docs, doc_id, text, lang))
-    return docs.select("*", detect(F.col(f"`{text}`")).alias("language"))
+    return docs.withColumn("language", detect(F.col(f"`{text}`")))
 
 
 def accepted(language: Column, min_share: float = MIN_SHARE) -> Column:

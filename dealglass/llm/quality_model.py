@@ -17,7 +17,9 @@ has its length class as its only term; one that is
 like no labelled text scores 0.5. Null labels and ids are not learned from;
 a document with several labels counts once for each. Without any usable label
 every score is 0.5. Rows, repeated ones included, and their other columns pass
-through unchanged.
+through unchanged; ``quality_score`` replaces a column of that name. Of labelled vectors
+as near as the last neighbour any may vote, so equal texts always get one score within a
+block, and up to rounding in any block.
 """
 
 from __future__ import annotations
@@ -192,5 +194,4 @@ def with_scores(docs: DataFrame, model: Model | None, text: str = "text") -> Dat
         for batch in batches:
             yield pd.Series(shared.value.score(batch.tolist()))
 
-    return docs.select(
-        "*", score.asNondeterministic()(F.col(f"`{text}`")).alias("quality_score"))
+    return docs.withColumn("quality_score", score.asNondeterministic()(F.col(f"`{text}`")))

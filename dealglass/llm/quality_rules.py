@@ -96,7 +96,7 @@ def _repeats(pairs: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds a struct ``rules`` with all counts and the verdict.
+    """Adds a struct ``rules`` with all counts and the verdict; it replaces one so named.
 
     Windows are compared by a 64-bit hash inside one document, so two different
     windows of one text pass for equal with a chance below n * n / 2**65.

@@ -74,7 +74,7 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_records(read(spark, folder, "documents"))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version",
     )
 
 

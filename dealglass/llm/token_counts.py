@@ -141,6 +141,6 @@ def counter(df: DataFrame, automaton: Automaton):
 
 
 def with_counts(df: DataFrame, automaton: Automaton | None = None, text: str = "text") -> DataFrame:
-    """All rows and columns, and a struct column ``tokens`` of ``COUNTS``."""
+    """All rows and columns, and a struct ``tokens`` of ``COUNTS``, which replaces one so named."""
     count = counter(df, automaton or load())
-    return df.select("*", count(F.col(f"`{text}`")).alias("tokens"))
+    return df.withColumn("tokens", count(F.col(f"`{text}`")))

@@ -252,6 +252,58 @@ def test_sharding_odd_rows(docs, no_docs):
     assert sharding.shard_records(no_docs).count() == 0
 
 
+def brute_places(recs, slot_map):
+    """Places within the shards, slot by slot and part by part, by plain lists."""
+    shard_of = {r.slot: r.shard for r in slot_map}
+    rows = sorted(recs, key=lambda r: (shard_of[r.virtual_slot], r.virtual_slot, r.part))
+    filled, out = {}, []
+    for r in rows:
+        shard = shard_of[r.virtual_slot]
+        out.append((r.virtual_slot, r.part, shard, filled.get(shard, 0)))
+        filled[shard] = filled.get(shard, 0) + 1
+    return sorted(out)
+
+
+def test_dealing_by_brute_force(spark, docs):
+    recs = sharding.records(docs)
+    sizes = sharding.slot_sizes(recs)
+    want = {}
+    for r in recs.collect():
+        want[r.virtual_slot] = want.get(r.virtual_slot, 0) + r.size
+    assert {r.slot: r.bytes for r in sizes.collect() if r.bytes} == want
+    edited = sharding.rebalance(sharding.even_map(spark, 3), sizes, 3)
+    placed = sharding.place(recs, edited).collect()
+    got = sorted((r.virtual_slot, r.part, r.shard, r.slot) for r in placed)
+    assert got == brute_places(recs.collect(), edited.collect())
+
+
+def test_a_row_repeated_for_a_third_of_all(spark):
+    one = spark.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "x" * 100).otherwise(
+            F.concat(F.lit("y" * 60), F.col("id").cast("string"))).alias("text"))
+    rows = sharding.shard_records(one)
+    loads = rows.groupBy("shard").agg(F.sum("size").alias("b")).toPandas()["b"]
+    assert len(loads) == 16 and loads.max() - loads.min() <= 0.01 * loads.mean() + 9 * 101
+    copies = rows.where("doc_id = 7").groupBy("virtual_slot").count().toPandas()["count"]
+    assert copies.sum() == 1000 and copies.max() <= 24  # one of each part, and a few by chance
+
+
+def test_versions_under_one_name(spark, docs):
+    versions = sharding.SlotMap(spark)
+    first = sharding.shard_records(docs, 4, slot_map=versions).collect()
+    again = sharding.shard_records(docs, 4, slot_map=versions).collect()
+    assert {r.map_version for r in first} == {2} and {r.map_version for r in again} == {3}
+    assert sorted(map(tuple, versions.versions().groupBy("version").count().collect())) == [
+        (k, sharding.SLOTS) for k in (1, 2, 3)]
+    wider = sharding.shard_records(docs, 5, slot_map=versions)
+    assert {r.map_version for r in wider.collect()} == {4}
+    # a version that a failed run left half does not count
+    versions.version(4).where("slot < 9").select("slot", "shard").write.parquet(
+        f"{versions.folder}/version=9")
+    assert versions.current()[1] == 4
+
+
 def test_map_versions(spark):
     sizes = spark.range(sharding.SLOTS).select(
         F.col("id").cast("int").alias("slot"), (F.col("id") % 100 + 1).alias("bytes")).cache()
