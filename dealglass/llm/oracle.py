@@ -85,20 +85,24 @@ QUALITY_RULES = f"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, text, {_WORDS.format('text')} AS w FROM documents
 ), lines AS (
-  SELECT r, x, {_WORDS.format('x')} AS w
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d)
+  SELECT r, pos, x, {_WORDS.format('x')} AS w
+  FROM (SELECT r, unnest(l) AS x, generate_subscripts(l, 1) AS pos
+        FROM (SELECT r, string_split(text, chr(10)) AS l FROM d))
 ), judged AS (
-  SELECT r, x, len(w) AS n,
+  SELECT r, pos, x, len(w) AS n, len(w) > 0 AND (
     len(x) - len(replace(x, '|', '')) >= {qr.BARS}
     OR (len(x) - len(replace(x, '!!', ''))) / 2 * 4 > len(w)
     OR len(regexp_extract_all(x, {_text(qr.SYMBOLS)})) * 4 > len(w)
     OR (len(w) > {qr.LONG_RUN} AND NOT regexp_matches(x, {_text(qr.PUNCTUATION)}))
     OR (len(w) >= {qr.STUTTER_WORDS} AND len(list_distinct(w)) * 4 <= len(w))
-    OR (len(w) <= {qr.LONG_RUN} AND ({_FURNITURE})) AS fails
-  FROM lines WHERE len(w) > 0
+    OR (len(w) <= {qr.LONG_RUN} AND ({_FURNITURE}))) AS fails
+  FROM lines
 ), by_line AS (
-  SELECT r, count(*) - count(DISTINCT x) AS n_dup_lines,
-         coalesce(sum(n) FILTER (WHERE fails), 0) AS n_lost_words FROM judged GROUP BY r
+  SELECT r, count(*) FILTER (WHERE n > 0) - count(DISTINCT x) FILTER (WHERE n > 0) AS n_dup_lines,
+         coalesce(sum(n) FILTER (WHERE fails), 0) AS n_lost_words,
+         md5(coalesce(string_agg(x, chr(10) ORDER BY pos) FILTER (WHERE NOT fails), ''))
+           AS cleaned_md5
+  FROM judged GROUP BY r
 ), wins AS (
   SELECT r, i, w[i : i + 7] AS win
   FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
@@ -112,7 +116,7 @@ WITH d AS (
   SELECT doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
          coalesce(len(regexp_extract_all(text, {_text(qr.SYMBOLS)})), 0) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-         CAST(coalesce(n_lost_words, 0) AS BIGINT) AS n_lost_words
+         CAST(coalesce(n_lost_words, 0) AS BIGINT) AS n_lost_words, cleaned_md5
   FROM d LEFT JOIN by_line USING (r) LEFT JOIN rep USING (r)
 ), base AS (
   SELECT *, n_words < {qr.MIN_WORDS}

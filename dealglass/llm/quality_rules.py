@@ -140,25 +140,38 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     # Not deterministic on purpose: else Spark moves a filter on the result below the
     # steps above and computes all of them once for every mention of one.
     kept = ~failed & enough & (F.spark_partition_id() >= 0)
-    verdict = F.struct("__counts.*", failed.alias("base_failed"), kept.alias("kept"))
+    verdict = F.struct(
+        "__counts.*", failed.alias("base_failed"), kept.alias("kept"),
+        F.when(col.isNotNull(), _without_failed("__lines")).alias("cleaned"))
     return step.withColumn("rules", verdict).drop(
         "__words", "__lines", "__hashes", "__pairs", "__counts")
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: the counts, ``base_failed`` and ``kept``."""
+    """One row per document: the counts, ``base_failed``, ``kept`` and the ``cleaned`` text."""
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return measure(slim).select("doc_id", "rules.*")
 
 
-def keep(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows that pass, with their own columns only."""
+def keep(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
+    """The rows that pass, with their own columns only and their failed lines removed.
+
+    ``length`` names a column that holds the text's number of characters, if there is one.
+    """
     packed = docs.select(F.struct("*").alias("__row"), F.col(f"`{text}`").alias("__text"))
-    return measure(packed, "__text").filter("rules.kept").select("__row.*")
+    passed = measure(packed, "__text").filter("rules.kept")
+    out = passed.select("__row.*", F.col("rules.cleaned").alias("__cleaned")).withColumn(
+        text, F.col("__cleaned")).drop("__cleaned")
+    if length is not None:
+        out = out.withColumn(length, F.length(f"`{text}`").cast(docs.schema[length].dataType))
+    return out
+
+
+def _without_failed(lines: Column | str) -> Column:
+    good = F.filter(lines, lambda x: ~x["fails"])
+    return F.array_join(F.transform(good, lambda x: x["line"]), "\n")
 
 
 def clean(text: Column) -> Column:
     """The text without its failed lines; null for a null text."""
-    good = F.filter(line_verdicts(text), lambda x: ~x["fails"])
-    joined = F.array_join(F.transform(good, lambda x: x["line"]), "\n")
-    return F.when(text.isNotNull(), joined)
+    return F.when(text.isNotNull(), _without_failed(line_verdicts(text)))

@@ -54,7 +54,8 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.judge(read(spark, folder, "documents"))
+    judged = quality_rules.judge(read(spark, folder, "documents"))
+    return judged.withColumn("cleaned_md5", F.md5(F.col("cleaned").cast("binary"))).drop("cleaned")
 
 
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:

@@ -45,6 +45,10 @@ def quality_kept(text):
     return n >= 20 and repeated * 100 <= 30 * n and lost * 100 <= 30 * n and n - lost >= 20
 
 
+def cleaned(text):
+    return "\n".join(x for x in text.split("\n") if not line_fails(x))
+
+
 def test_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     items = [(str(r.item_id), r.text)
@@ -61,6 +65,9 @@ def test_stages(spark, folder):
             want = languages_kept(before)
         elif name == "quality rules":
             want = {r.doc_id for r in before if quality_kept(r.text)}
+            texts = {r.doc_id: cleaned(r.text) for r in before}
+            for r in docs.collect():
+                assert r.text == texts[r.doc_id] and r.n_chars == len(r.text)
         elif name == "n-gram Jaccard join":
             before.sort(key=lambda r: r.doc_id)
             found = brute_classes([r.doc_id for r in before], [r.text for r in before])

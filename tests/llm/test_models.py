@@ -388,6 +388,19 @@ def test_odd_pages(spark):
     assert html_text.extract(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["quality_score", "tokens", "language"])
+def test_results_with_clashing_names_can_be_written(spark, docs, tmp_path, name):
+    rows = docs.withColumn(name, docs["text"])
+    made = {
+        "quality_score": lambda: quality_model.with_scores(rows, quality_model.Model(["a b", "c"], [0, 1])),
+        "tokens": lambda: token_counts.with_counts(rows),
+        "language": lambda: language.predict(rows),
+    }[name]()
+    assert made.columns.count(name) == 1
+    made.write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
+
+
 def test_a_column_of_the_same_name_is_replaced(spark, tmp_path):
     rows = spark.createDataFrame([(1, "<p>a", "old")], "id int, html string, Visible_Text string")
     html_text.extract(rows).write.parquet(str(tmp_path / "out"))
