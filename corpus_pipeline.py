@@ -21,8 +21,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keeps the documents that pass the quality rules."""
-    return quality_rules.keep(docs)
+    """Keeps the documents that pass the quality rules, without their failed lines."""
+    return quality_rules.keep(docs, length="n_chars")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
