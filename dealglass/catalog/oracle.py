@@ -1066,6 +1066,15 @@ SQL["stream_quarter_payers"] = f"""SELECT
 SQL["stream_cohort_sizes"] = f"""SELECT {text("mon")} AS cohort_month, {n()} AS cohort_size
     FROM (SELECT customer_id, {month("min(created_on)")} AS mon FROM deal GROUP BY customer_id)
     GROUP BY mon"""
+SQL["stored_rep_forecast"] = SQL["rep_forecast"]
+SQL["stored_revenue_forecast"] = SQL["sql_revenue_forecast"] = SQL["revenue_forecast"]
+SQL["stored_customer_segments"] = SQL["customer_segments"]
+SQL["sql_revenue_forecast_6"] = SQL["revenue_forecast"].replace(
+    "INTERVAL 3 MONTH", "INTERVAL 6 MONTH")
+SQL["sql_deal_health_score"] = f"""SELECT * EXCLUDE (deal_id)
+    FROM ({SQL["deal_health_score"]}) WHERE deal_id = 17"""
+SQL["sql_customer_lifetime_value"] = f"""SELECT * EXCLUDE (customer_id)
+    FROM ({SQL["customer_lifetime_value"]}) WHERE customer_id = 17"""
 # The results that streams refresh, over the tables as they stand at the end of the feed.
 AT_END = {
     "deal": deals_on(AS_OF),

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dealglass import views
 from dealglass.catalog import primitives
 from dealglass.model import UNIQUE_KEYS, Model
 from dealglass.operators import (
     changes, cohorts, customers, history, pipeline, quality, rejects, reps, revenue, upsell)
 from dealglass.session import shared_folder
 from dealglass.sources import history as history_feed
-from dealglass.sources import orders, tables
+from dealglass.sources import layout, orders, tables
 from dealglass.streaming import deltas, flows, idle, pending, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -351,6 +352,31 @@ def stream_pending_signals(spark: SparkSession, folder: str) -> DataFrame:
         found.orphans.select("signal_id", "deal_id", F.lit("orphan").alias("state")))
 
 
+def _stored(query: ModelQuery) -> ModelQuery:
+    def over_stored(m: Model, as_of: dt.date) -> DataFrame:
+        folder = shared_folder(m.deals.sparkSession, "layout")
+        return query(layout.stored(m, folder, buckets=8), as_of)
+
+    return over_stored
+
+
+def _called(call: str) -> Query:
+    """A table function by its SQL name, in a session of its own."""
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        session = spark.newSession()
+        session.conf.set("spark.sql.session.timeZone", "UTC")
+        views.register(orders.model(session, folder), orders.AS_OF)
+        return session.sql(f"SELECT * FROM {call}")
+
+    return query
+
+
+CALLS = {
+    "sql_deal_health_score": _called("get_deal_health_score(17)"),
+    "sql_customer_lifetime_value": _called("get_customer_lifetime_value(17)"),
+    "sql_revenue_forecast": _called("get_revenue_forecast()"),
+    "sql_revenue_forecast_6": _called("get_revenue_forecast(6)"),
+}
 MORE_RANGES = {
     ("customers", "annual_revenue"): "annual_revenue >= 0",
     ("deals", "days_in_stage"): "days_in_stage <= 60",
@@ -394,6 +420,9 @@ OTHERS: dict[str, Query] = {
 }
 HISTORY: dict[str, ModelQuery] = {
     "deal_stage_age": deal_stage_age,
+    "stored_rep_forecast": _stored(revenue.rep_forecast),
+    "stored_revenue_forecast": _stored(revenue.revenue_forecast),
+    "stored_customer_segments": _stored(lambda m, d: customers.customer_segments(m)),
     "dq_rejects": dq_rejects,
     "dq_split": dq_split,
     **{f"audit_replay_{table}": _replayed(table) for table in REPLAY_AT},
@@ -410,5 +439,5 @@ def _over_files(query: Query) -> Query:
 
 def all_queries() -> dict[str, Query]:
     named = {name: _over_model(q) for name, q in {**ANALYTICS, **PRIMITIVES, **HISTORY}.items()}
-    named.update({name: _over_files(q) for name, q in OTHERS.items()})
+    named.update({name: _over_files(q) for name, q in {**OTHERS, **CALLS}.items()})
     return named

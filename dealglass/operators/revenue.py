@@ -179,10 +179,9 @@ FORECAST = {
 def revenue_forecast(m: Model, as_of: dt.date, months: int = 3) -> DataFrame:
     """Per month of expected close within ``months``: weighted, best, worst, predicted."""
     close = F.col("expected_close_date")
-    in_window = close.between(on(as_of), F.add_months(on(as_of), months))
+    due = rollups.closing(m.deals, on(as_of), F.add_months(on(as_of), months))
     return (
-        open_pipeline_by_day(m)
-        .where(in_window)
+        open_pipeline_by_day(m.replace(deals=due))
         .groupBy(month(close).alias("forecast_month"))
         .agg(*[F.sum(c).alias(c) for c in ("active_deals", "total_pipeline", "weighted")])
         .withColumn("historical_win_rate", overall_win_rate(m).scalar())
@@ -199,9 +198,10 @@ def rep_forecast(m: Model, as_of: dt.date) -> DataFrame:
         percent(F.col("won"), F.col("closed")).cast("decimal(7,2)").alias("historical_win_rate"),
         mean(F.col("close_days"), F.col("close_days_known"), 0).alias("avg_days_to_close"),
     )
+    due = rollups.closing(m.deals, on(as_of))
     pipeline = (
-        rollups.staged_deals(m)
-        .where(F.col("is_active") & (close >= on(as_of)))
+        rollups.staged_deals(m.replace(deals=due))
+        .where("is_active")
         .groupBy(month(close).alias("forecast_month"), "assigned_rep")
         .agg(
             F.count(F.lit(1)).alias("deals_in_period"),

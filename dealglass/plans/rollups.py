@@ -31,6 +31,20 @@ def staged_deals(m: Model, how: str = "inner") -> DataFrame:
     return m.deals.join(stages(m), "stage_id", how)
 
 
+def closing(deals: DataFrame, start: Column, end: Column | None = None) -> DataFrame:
+    """Deals expected to close from ``start`` on (to ``end``, both included).
+
+    Where deals are stored by ``close_month`` only those months are read.
+    """
+    close = F.col("expected_close_date")
+    rows = deals.where(close >= start)
+    rows = rows if end is None else rows.where(close <= end)
+    if "close_month" in deals.columns:
+        rows = rows.where(F.col("close_month") >= F.trunc(start, "MM"))
+        rows = rows if end is None else rows.where(F.col("close_month") <= F.trunc(end, "MM"))
+    return rows
+
+
 def is_lost() -> Column:
     return F.col("is_closed") & ~F.col("is_won")
 

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dealglass.model import SCHEMAS, Model, ddl
 
@@ -46,13 +47,43 @@ def materialize(
     return spark.read.schema(result.schema).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Saves a catalog table bucketed and sorted by ``key``.
+def write_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int, path: str,
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Saves a catalog table at ``path``, bucketed and sorted by ``key``; returns it.
+
+    Two tables with the same bucket count on their join key join without a shuffle.  The
+    rows come to one task a bucket, so a partition holds one file a bucket.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, by: str, most: int = 4) -> int:
+    """Rewrites the partitions of a Parquet table that hold more than ``most`` files.
 
-    Two tables with the same bucket count on their join key join without a
-    shuffle; use it for facts that are joined on the customer or deal.
+    Appending leaves a file a task and run.  The rows of crowded partitions are first copied
+    to a folder beside the table, then replace their partitions, of which the others are not
+    touched; a run that fails in between is simply run again.  Returns the partitions rewritten.
     """
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    rows = spark.read.schema(schema).parquet(path)
+    named = rows.select(by, F.col("_metadata.file_path").alias("file"))
+    files = named.groupBy(by).agg(F.count_distinct("file").alias("files"))
+    crowded = [r[by] for r in files.where(F.col("files") > most).collect()]  # partition values
+    if crowded:
+        copy = f"{path.rstrip('/')}-compacting"
+        some = F.col(by).isin([v for v in crowded if v is not None])
+        if None in crowded:
+            some = some | F.col(by).isNull()
+        rows.where(some).hint("rebalance", by).write.mode("overwrite").parquet(copy)
+        held = spark.read.schema(schema).parquet(copy)
+        held.hint("rebalance", by).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    return len(crowded)
 
 
 def append(
