@@ -10,7 +10,8 @@ similarity as weight.
 
 Learned is only from labels of rows that may be learned from, and of them at
 most ``SAMPLE`` per label value (by hash of the id): this bounds what is
-collected and broadcast, 2 * SAMPLE vectors. All documents are scored.
+collected and broadcast, 2 * SAMPLE vectors of at most WORD_BINS + STYLE_BINS
+terms each; texts stay in the tasks. All documents are scored.
 
 Labels, language, source and id are no input of a score. A null or empty text
 has its length class as its only term; one that is
@@ -30,6 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,8 +62,8 @@ def _bin(text: str, bins: int) -> int:
 def _shape(word: str) -> str:
     kinds = "".join(
         "a" if c.islower() else "A" if c.isupper() else "x" if c.isalpha()
-        else "0" if c.isdigit() else c for c in word[:64])
-    return _RUNS.sub(r"\1", kinds)[:16]
+        else "0" if c.isdigit() else c for c in word)
+    return _RUNS.sub(r"\1", kinds)
 
 
 def _word_terms(word: str) -> tuple[int, int]:
@@ -103,8 +106,8 @@ def terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Term weights, latent space, and the labelled vectors with their labels."""
 
-    def __init__(self, texts: list[str | None], labels: list[int]):
-        rows = [terms(t) for t in texts]
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int]):
+        """Learns from the ``terms`` of texts."""
         in_texts = np.zeros(WORD_BINS + STYLE_BINS)
         for at, _ in rows:
             in_texts[at] += 1
@@ -175,12 +178,26 @@ def sample(
     return texts.join(few, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
+def _as_lists(text: str | None) -> dict[str, list]:
+    at, by = terms(text)
+    return {"at": at.tolist(), "by": by.tolist()}
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label: str = "quality",
 ) -> Model | None:
-    rows = sample(docs, labels, doc_id, text, label).orderBy("id", "label").collect()
-    return Model([r["text"] for r in rows], [r["label"] for r in rows]) if rows else None
+    """Tasks turn the sampled texts into terms; the driver gets those, at most one per bin."""
+    chosen = sample(docs, labels, doc_id, text, label)
+    turn = F.udf(_as_lists, "at array<int>, by array<double>", useArrow=True)
+    rows = chosen.select("id", "label", turn("text").alias("terms"))
+    rows = rows.orderBy("id", "label").select("label", "terms.*").toArrow()
+    if not len(rows):
+        return None
+    at, by = (rows[c].combine_chunks() for c in ("at", "by"))
+    ends = np.cumsum(pa.compute.list_value_length(at).to_numpy())[:-1]
+    parts = zip(np.split(at.flatten().to_numpy(), ends), np.split(by.flatten().to_numpy(), ends))
+    return Model(list(parts), rows["label"].to_pylist())
 
 
 def with_scores(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

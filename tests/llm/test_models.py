@@ -40,7 +40,7 @@ def test_held_out_quality(spark, larger):
 def test_scores_are_neighbour_votes():
     good = [odd.PROSE.replace("fox", f"fox{i}") for i in range(30)]
     bad = [" | ".join(["Home", "News", f"Page{i}"] * 8) for i in range(30)]
-    model = quality_model.Model(good + bad, [1] * 30 + [0] * 30)
+    model = quality_model.Model([quality_model.terms(t) for t in good + bad], [1] * 30 + [0] * 30)
     texts = [odd.PROSE, "A | B | C | D | E | F | G", odd.LONG]
     at = model.project(texts)
     every = at @ model.vectors.T
@@ -392,7 +392,7 @@ def test_odd_pages(spark):
 def test_results_with_clashing_names_can_be_written(spark, docs, tmp_path, name):
     rows = docs.withColumn(name, docs["text"])
     made = {
-        "quality_score": lambda: quality_model.with_scores(rows, quality_model.Model(["a b", "c"], [0, 1])),
+        "quality_score": lambda: quality_model.with_scores(rows, quality_model.Model([quality_model.terms(t) for t in ("a b", "c")], [0, 1])),
         "tokens": lambda: token_counts.with_counts(rows),
         "language": lambda: language.predict(rows),
     }[name]()
