@@ -1,7 +1,9 @@
 """Line-first quality rules: bad lines go, then documents that lost too much go.
 
 Each line is judged by itself: navigation bars, boilerplate, shouting, symbol
-noise and long unpunctuated runs fail. A document is kept when the words of its
+noise and long unpunctuated runs fail. Phrases of page furniture, which are English, fail a
+line of at most ``LONG_RUN`` words only: in a longer one they may stand within prose. A
+document is kept when the words of its
 failed lines are at most ``max_lost`` of all its words and enough words remain.
 Independently of the lines, a document fails the base rules when it is very
 short or repeats eight-word windows too much.
@@ -10,8 +12,8 @@ Everything is a Spark expression on one row: no shuffle, no Python.
 
 Nulls: a null text has no words, fails the base rules and is not kept; null ids
 pass through. Empty texts likewise. Repeated rows are judged alike. Columns of
-the input other than the text are left alone by ``clean`` and ignored by
-``judge``.
+the input other than the text are left alone by ``clean`` and ``keep`` and ignored by
+``judge``; ``measure`` replaces a column ``rules``.
 """
 
 from __future__ import annotations
