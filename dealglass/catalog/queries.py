@@ -230,14 +230,16 @@ def stream_quarter_payers(spark: SparkSession, folder: str) -> DataFrame:
     return flows.paying_customers(_payer_bits(spark, records), "quarter")
 
 
-def _audit(spark: SparkSession, session: SparkSession, folder: str) -> tuple[Model, DataFrame]:
-    """The model, and the audit table of all its changes up to ``AS_OF`` as a stream.
+def _audit(
+    spark: SparkSession, session: SparkSession, folder: str, *names: str
+) -> tuple[Model, DataFrame]:
+    """The model, and the audit table of the changes of some tables up to ``AS_OF`` as a stream.
 
     The feed comes in two files, with a row in three delivered again in the second.
     """
     m = orders.model(session, folder)
     feed = shared_folder(spark, "history-feed")
-    found = history_feed.changes(m, orders.AS_OF)
+    found = history_feed.changes(m, orders.AS_OF).where(F.col("table_name").isin(*names))
     found.write.parquet(f"{feed}/changes.parquet")
     again = F.pmod(F.xxhash64("table_name", "record_id", "action"), F.lit(3)) == 0
     found.where(again).write.mode("append").parquet(f"{feed}/changes.parquet")
@@ -252,7 +254,7 @@ def _audit(spark: SparkSession, session: SparkSession, folder: str) -> tuple[Mod
 def stream_pipeline_health(spark: SparkSession, folder: str) -> DataFrame:
     """Pipeline health kept up to date by signed changes of deals."""
     session = run.stream_session(spark)
-    m, feed = _audit(spark, session, folder)
+    m, feed = _audit(spark, session, folder, "deals")
     sums = run.sum_to(
         deltas.stage_sums(feed, m.deals.schema, orders.AS_OF),
         shared_folder(spark, "stage-sums"), ["stage_id"])
@@ -262,7 +264,7 @@ def stream_pipeline_health(spark: SparkSession, folder: str) -> DataFrame:
 def stream_customer_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Customer segments kept up to date by signed changes of three tables."""
     session = run.stream_session(spark)
-    m, feed = _audit(spark, session, folder)
+    m, feed = _audit(spark, session, folder, "customers", "deals", "revenue_records")
 
     def summed(rows: DataFrame, keys: list[str]) -> DataFrame:
         return run.sum_to(rows, shared_folder(spark, "segment-sums"), keys)
@@ -276,7 +278,7 @@ def stream_customer_segments(spark: SparkSession, folder: str) -> DataFrame:
 def stream_cohort_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """Customers by month of their first deal that is not deleted, from an index of days."""
     session = run.stream_session(spark)
-    m, feed = _audit(spark, session, folder)
+    m, feed = _audit(spark, session, folder, "deals")
     index = run.sum_to(
         deltas.deal_days(feed, m.deals.schema),
         shared_folder(spark, "deal-days"), ["customer_id", "deal_day"])

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from dealglass.catalog.queries import ANALYTICS, PRIMITIVES, all_queries
+from dealglass.catalog.queries import ANALYTICS, HISTORY, PRIMITIVES, all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -25,7 +25,10 @@ def plan(df, capsys):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", [*ANALYTICS, *PRIMITIVES])
+PAST = [name for name in HISTORY if name.startswith(("deal_stage_age", "audit_replay"))]
+
+
+@pytest.mark.parametrize("name", [*ANALYTICS, *PRIMITIVES, *PAST])
 def test_shape(spark, capsys, name):
     text = plan(all_queries()[name](spark, FOLDER), capsys)
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)

@@ -209,3 +209,15 @@ def test_late_rows_of_all_batches_are_told(spark, feed):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert late == [4]  # rows are compared with the watermark before the last batch
+
+
+def test_stream_sessions_carry_the_settings_of_the_caller(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "12345")
+    try:
+        session = run.stream_session(spark)
+    finally:
+        spark.conf.unset(key)
+    assert session.conf.get(key) == "12345" and spark.conf.get(key) != "12345"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
