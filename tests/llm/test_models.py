@@ -231,7 +231,7 @@ def test_token_counts(spark, folder, docs, no_docs):
         want = sum(greedy((" " + w).encode(), vocabulary, vocabulary) for w in words)
         assert (got.n_words[r.doc_id], got.n_tokens[r.doc_id]) == (len(words), want)
     rows = token_counts.with_counts(docs, machine)
-    assert rows.columns[:-1] == docs.columns and rows.count() == docs.count()
+    assert rows.columns == docs.columns and rows.count() == docs.count()  # one is so named
     assert token_counts.with_counts(no_docs.select("text"), machine).count() == 0
     empty = spark.createDataFrame([(None,), ("",), (" \n",)], "text string")
     assert [tuple(r.tokens) for r in token_counts.with_counts(empty, machine).collect()] == [
