@@ -319,12 +319,8 @@ def stream_activity_daily(spark: SparkSession, folder: str) -> DataFrame:
 def stream_daily_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Activities per day and type in three batches: those on time, and those that were late."""
     session = run.stream_session(spark)
-    feed = shared_folder(spark, "thirds")
+    feed, out = shared_folder(spark, "thirds"), shared_folder(spark, "daily-windows")
     lines = orders.read(spark, folder, "lineitem")
-    for third in range(3):  # one after the other: the order in which they are read
-        part = lines.where(F.pmod("l_orderkey", F.lit(3)) == third)
-        part.coalesce(1).write.mode("append").parquet(f"{feed}/lineitem.parquet")
-    stream = run.read_stream(session, feed, "lineitem", orders.FILE_SCHEMAS["lineitem"], 1)
     keys = ["activity_day", "activity_type"]
 
     def summed(rows: DataFrame) -> DataFrame:
@@ -333,9 +329,12 @@ def stream_daily_windows(spark: SparkSession, folder: str) -> DataFrame:
     def again(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.sum("on_time").alias("on_time"))
 
-    merged, late = run.merge_on_time(
-        flows.typed(orders.activities(stream)), shared_folder(spark, "daily-windows"),
-        "activity_day", summed, again)
+    for third in range(3):  # one delivery after the other, in as many files as it was written by
+        part = lines.where(F.pmod("l_orderkey", F.lit(3)) == third)
+        part.write.mode("append").parquet(f"{feed}/lineitem.parquet")
+        stream = run.read_stream(session, feed, "lineitem", orders.FILE_SCHEMAS["lineitem"], None)
+        merged, late = run.merge_on_time(
+            flows.typed(orders.activities(stream)), out, "activity_day", summed, again)
     too_late = late.groupBy(*keys).agg(F.sum("activities").alias("late"))
     both = merged.join(too_late, keys, "full_outer")
     return both.select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("on_time", "late")])

@@ -41,13 +41,16 @@ def stream_session(spark: SparkSession) -> SparkSession:
 
 def read_stream(
     session: SparkSession, folder: str, table: str, schema: str | StructType,
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = 1000,
 ) -> DataFrame:
     """A table's Parquet files as a stream, at most ``files_per_batch`` in a batch.
 
-    The trailing pattern lets the table be a folder or a single file.
+    With ``None`` all files that are there when a run starts make one batch.  The trailing
+    pattern lets the table be a folder or a single file.
     """
-    reader = session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = session.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{folder.rstrip('/')}/{table}.parquet*")
 
 

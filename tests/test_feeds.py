@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from compare import differences, duck
 from dealglass.catalog import queries
+from dealglass.catalog.oracle import all_sql
 from dealglass.operators import quality, rejects
 from dealglass.session import shared_folder
 from dealglass.sources import orders
@@ -150,3 +152,25 @@ def test_counts_equal_the_counting_checks(spark, table):
                for check in checks for r in check.where(F.col("table_name") == table).collect()}
     assert counted == found.violations
     assert found.good.columns == rows.columns
+
+
+def test_deliveries_of_many_files_are_batches(spark, monkeypatch):
+    """Each third is written by all tasks that read it, and is still one batch."""
+    folder = shared_folder(spark, "test-thirds")
+    spark.read.parquet(f"{FOLDER}/lineitem.parquet").repartition(5).write.parquet(
+        f"{folder}/lineitem.parquet")
+    made = {}
+    monkeypatch.setattr(queries, "shared_folder", lambda session, purpose: made.setdefault(
+        purpose, shared_folder(session, purpose)))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))  # a task a file
+    try:
+        got = queries.all_queries()["stream_daily_windows"](spark, folder)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    feed = spark.read.parquet(f"{made['thirds']}/lineitem.parquet")
+    files = feed.groupBy(F.col("l_orderkey") % 3).agg(
+        F.count_distinct(F.col("_metadata.file_path")).alias("files")).collect()
+    assert [r.files > 1 for r in files] == [True] * 3
+    batches = spark.read.parquet(f"{made['daily-windows']}/newest")
+    assert sorted(r.batch for r in batches.select("batch").collect()) == [0, 1, 2]
+    assert differences(got, duck(FOLDER), all_sql()["stream_daily_windows"]) == []
