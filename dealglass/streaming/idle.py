@@ -5,15 +5,19 @@ Two streams, each of which reads every row once:
 ``arrive`` sums the activities of a batch per deal and day and stores them with the clock of
 that batch, the newest activity day that had arrived by then.  The clock never goes back, so
 it can carry the watermark: a row of any age is on time, whatever the order of the files.
+Deals are dealt by hash to ``groups``, and the sums of a group are stored as arrays of some
+hundred entries, since rows reach Python one by one.
 
 ``IdleTimers`` keeps one row of state per deal, its stretches of activity (first day, last
-day, activities, told or not).  Deals are dealt by hash to ``groups``, each with one timer,
-for its first stretch that is not told yet: Python is called per group, not per deal, and a
-call reads and writes the rows of its group only.  Choose as many groups as leave some
-hundred deals to each; a folder keeps the number it began with.  Activities re-arm the timer;
-when it fires, a deal was idle for too long, and the signal goes out.  Activities that come late may lengthen a stretch or join two: the stretches
-before and after are compared, signals that no longer hold are taken back (sign -1) and
-those that hold now are given.  ``standing`` sums the signs.
+day, activities).  Each group has one timer, for its first stretch that is not told yet:
+Python is called per group, not per deal, and a call reads the rows of its group only and
+works on all of them at once, as arrays.  A folder keeps the number of groups it began with.
+Activities re-arm the timer; when it fires, a deal was idle for too long, and the signal goes
+out.  Stretches are told up to a day that is kept per group, so a timer moves that day and
+writes no deal again; a stretch that is over by the clock of its own batch is told at once.
+Activities that come late may lengthen a stretch or join two: the stretches before and after
+are compared, signals that no longer hold are taken back (sign -1) and those that hold now
+are given.  ``standing`` sums the signs.
 
 A deal's state has one entry per gap of its life, that is at most one per ``idle_days``
 days, however many activities it has.
@@ -22,10 +26,9 @@ days, however many activities it has.
 from __future__ import annotations
 
 import datetime as dt
-from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -37,33 +40,41 @@ from dealglass.streaming import run
 DAY_MS = 86_400_000
 EPOCH = dt.date(1970, 1, 1)
 GROUPS = 512
-STATE = "deal_id {key}, spans binary"  # four 64-bit numbers a stretch, as Span
+ENTRIES = 512  # days of deals in a stored row, on average
+STATE = "deal_id {key}, spans binary"  # three 64-bit numbers a stretch, as Span without told
 OUTPUT = "deal_id {key}, last int, activities bigint, sign int"
-ARRIVALS = "deal_id {key}, day int, n bigint, clock timestamp"
+ARRIVALS = ("`group` int, deals array<{key}>, days array<int>, counts array<bigint>, "
+            "clock timestamp")
 
 Span = tuple[int, int, int, bool]  # first day, last day, activities, told
 
 
-def joined(spans: list[Span], days: list[tuple[int, int]], idle_days: int) -> list[Span]:
-    """The stretches after more days of activity; what is new or longer is not told yet."""
-    out: list[Span] = []
-    for first, last, n, told in sorted([*spans, *[(d, d, n, False) for d, n in days]]):
-        if out and first - out[-1][1] <= idle_days:
-            begin, end, m, _ = out[-1]
-            out[-1] = (begin, max(end, last), m + n, False)
-        else:
-            out.append((first, last, n, told))
-    return out
-
+def merged(deal: np.ndarray, spans: np.ndarray, idle_days: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of many deals (numbered from 0), where close ones have become one.
 
-def packed(spans: list[Span]) -> bytes:
-    """The stretches as one value: state rows cross to the JVM field by field."""
-    return array("q", [x for span in spans for x in span]).tobytes()
+    ``spans`` has a row of first day, last day and activities for each entry of ``deal``.
+    The result is in order of deal and first day.
+    """
+    order = np.lexsort((spans[:, 0], deal))
+    deal, spans = deal[order], spans[order]
+    # The latest end so far within the deal: days take 32 bits, deals the bits above.
+    until = np.maximum.accumulate((deal << 33) + spans[:, 1]) - (deal << 33)
+    begins = np.ones(len(deal), bool)
+    begins[1:] = (deal[1:] != deal[:-1]) | (spans[1:, 0] - until[:-1] > idle_days)
+    at = np.flatnonzero(begins)
+    if not len(at):
+        return deal, spans
+    whole = np.column_stack([
+        spans[at, 0], np.maximum.reduceat(spans[:, 1], at), np.add.reduceat(spans[:, 2], at)])
+    return deal[at], whole
 
 
-def unpacked(data: bytes) -> list[Span]:
-    flat = array("q", bytes(data)).tolist()
-    return [(*flat[k:k + 3], bool(flat[k + 3])) for k in range(0, len(flat), 4)]
+def joined(spans: list[Span], days: list[tuple[int, int]], idle_days: int) -> list[Span]:
+    """The stretches of one deal after more days of activity, none of them told yet."""
+    rows = [s[:3] for s in spans] + [(d, d, n) for d, n in days]
+    found = merged(np.zeros(len(rows), np.int64), np.array(rows, np.int64).reshape(-1, 3),
+                   idle_days)[1]
+    return [(*span, False) for span in found.tolist()]
 
 
 def told(spans: list[Span], mark: int, idle_days: int) -> list[Span]:
@@ -71,6 +82,21 @@ def told(spans: list[Span], mark: int, idle_days: int) -> list[Span]:
     return [(a, b, n, b + idle_days + 1 <= mark) for a, b, n, _ in spans]
 
 
+def changed(
+    deal_before: np.ndarray, before: np.ndarray, deal: np.ndarray, after: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Deal, stretch and sign of what was told before and no longer holds, and the reverse."""
+    deals = np.concatenate([deal_before, deal])
+    spans = np.concatenate([before, after])
+    sign = np.repeat([-1, 1], [len(deal_before), len(deal)])
+    order = np.lexsort((sign, spans[:, 2], spans[:, 1], spans[:, 0], deals))
+    deals, spans, sign = deals[order], spans[order], sign[order]
+    same = np.zeros(len(deals) + 1, bool)  # equal to the row above; each comes once a side
+    same[1:-1] = (deals[1:] == deals[:-1]) & (spans[1:] == spans[:-1]).all(axis=1)
+    alone = ~(same[:-1] | same[1:])
+    return deals[alone], spans[alone], sign[alone]
+
+
 class IdleTimers(StatefulProcessor):
     """Signals of a group of deals; see the module."""
 
@@ -81,53 +107,77 @@ class IdleTimers(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.deals = handle.getListState("deals", self.schema)
-        self.armed = handle.getValueState("armed", "at bigint")
+        # The timer, and the day up to which stretches are told.
+        self.armed = handle.getValueState("armed", "at bigint, mark bigint")
 
     def handleInputRows(
         self, key, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
-        days = defaultdict(list)
-        for part in rows:
-            for deal, day, n in zip(*(part[c].tolist() for c in ("deal_id", "day", "n"))):
-                days[deal].append((day, n))
-        return self._step(days, timerValues)
+        new = pd.concat(list(rows), ignore_index=True)
+        ids = np.concatenate([np.asarray(x) for x in new["deals"]])
+        days, counts = (
+            np.concatenate([np.asarray(x, np.int64) for x in new[c]]) for c in ("days", "counts"))
+        return self._step(
+            ids, np.column_stack([days, days, counts]), int(new["mark"].max()), timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return self._step({}, timerValues)
+        return self._step(np.array([]), np.empty((0, 3), np.int64), None, timerValues)
 
     def close(self) -> None:
         pass
 
-    def _step(self, days: dict, timer_values) -> Iterator[pd.DataFrame]:
-        mark = timer_values.getCurrentWatermarkInMs() // DAY_MS
-        held = {deal: unpacked(spans) for deal, spans in self.deals.get()}
-        out, waiting, kept = [], [], []
-        for deal in {**held, **days}:
-            before = held.get(deal, [])
-            after = told(joined(before, days.get(deal, []), self.idle_days), mark, self.idle_days)
-            was = {s[:3] for s in before if s[3]}
-            now = {s[:3] for s in after if s[3]}
-            for sign, spans in ((-1, was - now), (1, now - was)):
-                out += [(deal, last, n, sign) for _, last, n in sorted(spans)]
-            waiting += [last for _, last, _, done in after if not done]
-            kept.append((deal, packed(after)))
-        self.deals.put(kept)
-        self._arm((min(waiting) + self.idle_days + 1) * DAY_MS - 1 if waiting else None)
-        return iter([pd.DataFrame(out, columns=["deal_id", "last", "activities", "sign"])])
-
-    def _arm(self, wanted: int | None) -> None:
+    def _step(
+        self, ids: np.ndarray, new: np.ndarray, clock: int | None, timer_values
+    ) -> Iterator[pd.DataFrame]:
+        at, told_to = self.armed.get() or (None, None)
+        marks = (timer_values.getCurrentWatermarkInMs() // DAY_MS, clock, told_to)
+        mark = max(m for m in marks if m is not None)
+        held = list(self.deals.get())
+        flat = np.frombuffer(b"".join(spans for _, spans in held), np.int64).reshape(-1, 3)
+        known = np.repeat(np.arange(len(held)), [len(spans) // 24 for _, spans in held])
+        if len(new):
+            named = pd.Series([deal for deal, _ in held] + ids.tolist())
+            codes, uniques = pd.factorize(named)
+            codes = codes.astype(np.int64)  # those held come first, in their order
+            deal, spans = merged(
+                np.concatenate([known, codes[len(held):]]), np.concatenate([flat, new]),
+                self.idle_days)
+        else:
+            deal, spans, uniques = known, flat, pd.Index([deal for deal, _ in held])
+        over = spans[:, 1] + self.idle_days + 1 <= mark
+        if told_to is None:
+            was = np.zeros(len(flat), bool)
+        else:
+            was = flat[:, 1] + self.idle_days + 1 <= told_to
+        which, what, sign = changed(known[was], flat[was], deal[over], spans[over])
+        if len(new):
+            self._keep(uniques.tolist(), deal, spans)
+        waiting = spans[~over, 1]
+        self._arm(
+            (int(waiting.min()) + self.idle_days + 1) * DAY_MS - 1 if len(waiting) else None,
+            at, mark, told_to)
+        return iter([pd.DataFrame({
+            "deal_id": uniques.take(which), "last": what[:, 1].astype(np.int32),
+            "activities": what[:, 2], "sign": sign.astype(np.int32)})])
+
+    def _keep(self, names: list, deal: np.ndarray, spans: np.ndarray) -> None:
+        """A row per deal; ``spans`` are in order of the deals, each of which has one at least."""
+        flat = np.ascontiguousarray(spans).tobytes()
+        ends = (24 * np.searchsorted(deal, np.arange(len(names) + 1))).tolist()
+        self.deals.put([(name, flat[a:b]) for name, a, b in zip(names, ends, ends[1:])])
+
+    def _arm(self, wanted: int | None, armed: int | None, mark: int, told_to: int | None) -> None:
         """One timer, for the stretch that can be told first."""
-        held = self.armed.get()
-        armed = held[0] if held else None
         if wanted != armed:
             if armed is not None:
                 self.handle.deleteTimer(armed)
             if wanted is not None:
                 self.handle.registerTimer(wanted)
-            self.armed.update((wanted,))
+        if (wanted, mark) != (armed, told_to):
+            self.armed.update((wanted, mark))
 
 
-def arrive(activities: DataFrame, folder: str) -> DataFrame:
+def arrive(activities: DataFrame, folder: str, groups: int = GROUPS) -> DataFrame:
     """Runs a stream of activities; returns the stored sums per deal and day as a stream."""
     path = f"{folder}/arrivals"
     session = activities.sparkSession
@@ -143,14 +193,23 @@ def arrive(activities: DataFrame, folder: str) -> DataFrame:
         return held.where(F.col("batch") < batch_id).agg(F.max("clock")).first()[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        days = batch.groupBy("deal_id", "day").agg(F.count(F.lit(1)).alias("n")).persist()
-        last = days.agg(F.max("day")).first()[0]
-        if last is not None:
-            own = dt.datetime.combine(EPOCH + dt.timedelta(last), dt.time())
-            clock = max(filter(None, (own, newest(batch_id))))
-            days.withColumn("clock", F.lit(clock)).write.mode("overwrite").partitionBy(
-                "clock").parquet(f"{path}/batch={batch_id}")
-        days.unpersist()
+        last, rows = batch.agg(F.max("day"), F.count(F.lit(1))).first()
+        if last is None:
+            return
+        own = dt.datetime.combine(EPOCH + dt.timedelta(last), dt.time())
+        clock = max(filter(None, (own, newest(batch_id))))
+        parts = -(-rows // (groups * ENTRIES))
+        dealt = F.xxhash64("deal_id")
+        days = batch.groupBy("deal_id", "day").agg(F.count(F.lit(1)).alias("n")).select(
+            F.pmod(dealt, F.lit(groups)).cast("int").alias("group"),
+            F.pmod(F.xxhash64("day", dealt), F.lit(parts)).alias("part"), "deal_id", "day", "n")
+        # Brought together first: the arrays are not grown before the shuffle and sent then.
+        together = days.repartition("group", "part").groupBy("group", "part").agg(
+            F.collect_list(F.struct("deal_id", "day", "n")).alias("sums"))
+        together.select(
+            "group", F.col("sums.deal_id").alias("deals"), F.col("sums.day").alias("days"),
+            F.col("sums.n").alias("counts"), F.lit(clock).alias("clock"),
+        ).write.mode("overwrite").partitionBy("clock").parquet(f"{path}/batch={batch_id}")
 
     touched = activities.select("deal_id", F.unix_date(F.to_date("activity_date")).alias("day"))
     run.each_batch(touched.where("deal_id is not null and day is not null"), write, folder)
@@ -167,10 +226,10 @@ def signals(
     has been idle for more than ``idle_days``.  Going on from the same folder reads only
     what is new.
     """
-    arrivals = arrive(activities, f"{folder}/in")
-    key = dict(arrivals.dtypes)["deal_id"]
+    key = dict(activities.dtypes)["deal_id"]
+    mark = F.unix_date(F.to_date(F.col("clock") - F.expr(f"interval '{delay}'")))
     changes = (
-        arrivals.withColumn("group", F.pmod(F.xxhash64("deal_id"), F.lit(groups)))
+        arrive(activities, f"{folder}/in", groups).withColumn("mark", mark)
         .withWatermark("clock", delay)
         .groupBy("group")
         .transformWithStateInPandas(

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +124,91 @@ def test_no_filter_below_the_merge_of_sessions(spark, capsys):
     plan = capsys.readouterr().out
     merge = plan.index("MergingSessions" if "MergingSessions" in plan else "Session")
     assert "Filter (date_add" not in plan[merge:]
+
+
+class Held:
+    """A state variable of a group in memory."""
+
+    def __init__(self, empty):
+        self.value, self.writes = empty, 0
+
+    def get(self):
+        return self.value
+
+    def put(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    def update(self, value):
+        self.value = value
+
+
+class Handle:
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def getListState(self, name, schema):
+        return self.states.setdefault(name, Held([]))
+
+    def getValueState(self, name, schema):
+        return self.states.setdefault(name, Held(None))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class Clock:
+    def __init__(self, day):
+        self.day = day
+
+    def getCurrentWatermarkInMs(self):
+        return self.day * idle.DAY_MS
+
+
+@pytest.mark.parametrize("ids", [[7, 8, 9, 2**40], ["a", "b", "", "é"]])
+def test_a_group_step_by_step(ids):
+    """Rows of arrays and timers in any order, against stretches formed from all days at once."""
+    rng = random.Random(5)
+    for _ in range(40):
+        handle, timers = Handle(), idle.IdleTimers(30, "string")
+        timers.init(handle)
+        days, signs, mark = {i: [] for i in ids}, {}, 0
+        for _ in range(rng.randrange(1, 8)):
+            mark += rng.randrange(60)
+            writes = handle.getListState("deals", "").writes
+            if handle.timers and rng.random() < 0.4:
+                handle.timers.clear()
+                handle.getValueState("armed", "").value = (
+                    None, handle.getValueState("armed", "").value[1])
+                out = timers.handleExpiredTimer(None, Clock(mark), None)
+                assert handle.getListState("deals", "").writes == writes  # no deal is written
+            else:
+                rows = [[(rng.choice(ids), rng.randrange(300), rng.randrange(1, 4))
+                         for _ in range(rng.randrange(1, 12))] for _ in range(2)]
+                for i, d, n in sum(rows, []):
+                    days[i] += [d] * n
+                frame = pd.DataFrame([
+                    (*map(list, zip(*row)), mark) for row in rows],
+                    columns=["deals", "days", "counts", "mark"])
+                # the clock of the rows tells at once; the watermark may lag behind
+                out = timers.handleInputRows(None, iter([frame]), Clock(mark // 2))
+            for r in pd.concat(list(out)).itertuples():
+                key = (r.deal_id, r.last, r.activities)
+                signs[key] = signs.get(key, 0) + r.sign
+            want = {(i, last, n) for i in ids for last, n in stretches(days[i]) if last + 31 <= mark}
+            assert {k for k, s in signs.items() if s} == want and set(signs.values()) <= {0, 1}
+            waiting = [last for i in ids for last, _ in stretches(days[i]) if last + 31 > mark]
+            assert handle.timers == ({(min(waiting) + 31) * idle.DAY_MS - 1} if waiting else set())
+            assert sorted(map(str, (d for d, _ in handle.getListState("deals", "").value))) == sorted(
+                str(i) for i in ids if days[i])
+
+
+def test_deals_reach_python_by_arrays(spark, feed):  # noqa: F811
+    folder, add = feed
+    session, out = run.stream_session(spark), shared_folder(spark, "test-arrays")
+    add(*[(f"d{k}", k % 90) for k in range(900)])
+    idle.signals(activities(session, folder), out, groups=4)
+    stored = session.read.parquet(f"{out}/in/arrivals")
+    assert stored.count() == 4 and stored.agg(F.sum(F.size("deals"))).first()[0] == 900
