@@ -95,21 +95,38 @@ def append(
     the partitions of the new rows are looked at, so the key must belong to one
     partition (an id and the day it was made).  Of repeated new rows one is kept.
     """
-    spark = rows.sparkSession
     by = partition_by or []
-    new = rows.dropDuplicates(key)
     try:
-        held = spark.read.schema(rows.schema).parquet(path).select(*{*key, *by})
+        held = rows.sparkSession.read.schema(rows.schema).parquet(path).select(*{*key, *by})
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-    else:
-        if by:
-            held = held.join(rows.select(*by).distinct(), by, "left_semi")
-        same = reduce(and_, [new[c].eqNullSafe(held[c]) for c in key])
-        new = new.join(held, same, "left_anti")
-    new = new.select(*rows.columns)
-    if by:  # a partition's rows come to few tasks; a large one is split among several
-        new = new.hint("rebalance", *by)
-    writer = new.write.mode("append")
+        held = None
+    writer = new_rows(rows, held, key, by).write.mode("append")
     (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
+def new_rows(
+    rows: DataFrame, held: DataFrame | None, key: list[str], by: list[str]
+) -> DataFrame:
+    """One row per key that ``held`` lacks; with ``by`` in few tasks per partition.
+
+    Whole rows are shuffled once: to ranges of partition and key, in which repeated rows and
+    the keys held meet and from which the partitions are written.  A large partition is many
+    ranges.
+    """
+    if not by:
+        new = rows.dropDuplicates(key)
+        if held is None:
+            return new
+        same = reduce(and_, [new[c].eqNullSafe(held[c]) for c in key])
+        return new.join(held, same, "left_anti").select(*rows.columns)
+    one = [*by, *[c for c in key if c not in by]]
+    found = rows.withColumn("_held", F.lit(False))
+    if held is not None:
+        held = held.join(rows.select(*by).distinct(), by, "left_semi").select(*one)
+        found = found.unionByName(
+            held.withColumn("_held", F.lit(True)), allowMissingColumns=True)
+    rest = [F.first(c).alias(c) for c in rows.columns if c not in one]
+    each = found.repartitionByRange(*one).groupBy(*one).agg(F.max("_held").alias("_held"), *rest)
+    return each.where(~F.col("_held")).select(*rows.columns)

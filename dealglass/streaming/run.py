@@ -120,9 +120,7 @@ def append_new_to(stream: DataFrame, folder: str, key: str, partition: str) -> D
     path = f"{folder}/data"
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        batch = batch.persist()  # read for the partitions it touches, then for its rows
         append(batch, path, [key], [partition])
-        batch.unpersist()
 
     each_batch(stream, write, folder)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)

@@ -124,6 +124,22 @@ def test_append_adds_new_keys_only(spark, by_day):
     assert sorted((r.id or "", r.day) for r in got) == [("", 2), ("a", 1), ("b", 1), ("c", 2)]
 
 
+def test_append_shuffles_whole_rows_once(spark, capsys):
+    rows = spark.range(0, 400, 1, 4).selectExpr(
+        "cast(id % 100 as string) as id", "cast(id % 5 as int) as day", "repeat('x', 50) as note")
+    tables.new_rows(rows, None, ["id"], ["day"]).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1
+    held = rows.select("id", "day").where("day < 2")
+    left = tables.new_rows(rows, held, ["id"], ["day"])
+    left.explain()
+    plan = capsys.readouterr().out
+    assert len([x for x in plan.splitlines() if "Exchange range" in x]) == 1
+    # the others carry the days of the batch and the keys held, no notes
+    assert [x for x in plan.splitlines() if "Exchange hash" in x and "note" in x] == []
+    assert sorted(int(r.id) for r in left.collect()) == [k for k in range(100) if k % 5 > 1]
+    assert {r.note for r in left.collect()} == {"x" * 50}
+
+
 def test_shared_folder_of_a_plain_local_session(tmp_path):
     code = (
         "from dealglass.session import local_session, shared_folder\n"
